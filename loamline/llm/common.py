@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,6 +75,12 @@ def plain_word_count(text: Column) -> Column:
     return word_count_of(F.split(F.coalesce(text, F.lit("")), SPACE_CLASS)).cast("long")
 
 
-def small_enough(df: DataFrame, max_rows: int) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows; reads no more than that many plus one."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def ascii_lower(text: Column) -> Column:
+    """A-Z lower-cased.  Other letters may be too, but none turns into ASCII: the two that would are left out of ``lower``."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return F.when(text.rlike("[\u0130\u212A]"), F.translate(text, upper, upper.lower())).otherwise(F.lower(text))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it stands in ``body`` and its lambdas."""
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamline.llm.common import alnum_words, materialize
+from loamline.llm.common import alnum_words, ascii_lower, materialize
 
 BASE = {"mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
@@ -56,8 +56,8 @@ def vocabulary(templates: tuple[Template, ...], base: dict[str, str]) -> list[st
 
 def hits_of(docs: DataFrame, words_in: list[str]) -> DataFrame:
     """doc_id, n_words and ``hits``: (place, word) of the words that the index knows, in order."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), alnum_words(F.lower(F.col("text").cast("string"))).alias("words"))
-    known = F.filter(F.transform("words", lambda w, i: F.struct(i.alias("p"), w.alias("w"))), lambda x: x["w"].isin(words_in))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), alnum_words(ascii_lower(F.col("text").cast("string"))).alias("words"))
+    known = F.array_compact(F.transform("words", lambda w, i: F.when(w.isin(words_in), F.struct(i.alias("p"), w.alias("w")))))
     return rows.select("doc_id", F.size("words").cast("long").alias("n_words"), known.alias("hits"))
 
 
@@ -77,7 +77,8 @@ def anchors_of(hits: DataFrame, templates: tuple[Template, ...], each: int = 2)
 
 def places(rare: Column, anchors: list[tuple[int, str]]) -> Column:
     """Starts that all anchors agree on."""
-    found = [F.transform(F.filter(rare, lambda x, w=w: x["w"] == w), lambda x, at=at: x["p"] - at) for at, w in anchors]
+    starts_of = lambda at, w: F.transform(F.filter(rare, lambda x: x["w"] == w), lambda x: x["p"] - at)
+    found = [starts_of(at, w) for at, w in anchors]
     out = found[0]
     for f in found[1:]:
         out = F.array_intersect(out, f)
@@ -124,7 +125,8 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, base: dic
     every = F.concat(*[F.col(f"b{k}") for k in range(len(phrases))])
     base_labels = F.array_distinct(F.concat(*[F.when(F.size(f"b{k}") > 0, F.array(F.lit(t.label))).otherwise(F.array().cast("array<string>")) for k, t in enumerate(phrases)]))
     method = F.concat(*[F.when(F.size(f"t{k}") > 0, F.array(F.lit(t.label))).otherwise(F.array().cast("array<string>")) for k, t in enumerate(templates)])
-    shares = [F.when(F.size(f"t{k}") > 0, F.array_max(F.transform(f"t{k}", lambda s, t=t: in_place(F.col("hits"), s, t.words.split()) / float(len(t.words.split()))))) for k, t in enumerate(templates)]
+    share_of = lambda t, starts: F.array_max(F.transform(starts, lambda s: in_place(F.col("hits"), s, t.words.split()) / float(len(t.words.split()))))
+    shares = [F.when(F.size(f"t{k}") > 0, share_of(t, f"t{k}")) for k, t in enumerate(templates)]
     rows = rows.withColumn("every", every).withColumn("base_list", base_labels).withColumn("method_list", method)
     return rows.select(
         "doc_id", "n_words", F.size("every").cast("long").alias("n_base"), F.array_min("every").cast("long").alias("first_word"), F.array_max("every").cast("long").alias("last_word"),

@@ -9,9 +9,9 @@ first ``target`` words of that stream: whole passes, then documents up to the la
 The position of a document is a sum over hash buckets plus a sum within its bucket, so no task holds a source.
 
 Blocks.  The stream is cut into blocks of equal numbers of words.  A splitting tree halves the output shards again and
-again: at each node every source's block quota is divided by drawing without replacement, so that both sides get their exact number of
-blocks and the composition follows the multivariate hypergeometric law.  A source's blocks are permuted and dealt to the shards by these quotas,
-and each shard's rows have a local shuffle key.
+again: at each node every source's block quota is divided by drawing without replacement, so that both sides get their
+exact number of blocks and the composition follows the multivariate hypergeometric law.  A source's blocks are
+permuted and dealt to the shards by these quotas, and each shard's rows have a local shuffle key.
 
 Null text has size 0 and takes nothing.  Null sources are a source of their own, last in order.  Repeated rows are
 rows of their own.  An empty table, or one without words, takes nothing.  Extra columns are ignored.
@@ -53,15 +53,23 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), shar
     )
 
 
+def random_key(*parts: Column) -> Column:
+    """Hexadecimal md5 of the parts: a key that other engines give too."""
+    return F.md5(F.concat_ws(":", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]).cast("binary"))
+
+
 def positions(rows: DataFrame, pass_no: int, seed: int, buckets: int) -> DataFrame:
-    """Adds ``at{pass_no}``: the words that stand before a row in its source's permuted order."""
+    """Adds ``at{pass_no}``: the words that stand before a row in its source's permuted order.
+
+    A bucket is a range of the random key, so rows in order of (bucket, key) are in order of the key.
+    """
     key, bucket, name = f"h{pass_no}", f"b{pass_no}", f"at{pass_no}"
-    rows = rows.withColumn(key, F.xxhash64(F.lit(f"{seed}:{pass_no}"), "doc_id", "crc", "size"))
-    rows = rows.withColumn(bucket, F.pmod(F.shiftrightunsigned(key, 8), F.lit(buckets)).cast("int"))
+    rows = rows.withColumn(key, random_key(F.lit(seed), F.lit(pass_no), F.col("doc_id")))
+    rows = rows.withColumn(bucket, F.shiftright(F.conv(F.substring(key, 1, 8), 16, 10).cast("long") * F.lit(buckets), 32).cast("int"))
     sums = rows.groupBy("source", bucket).agg(F.sum("size").alias("in_bucket"))
     before = Window.partitionBy("source").orderBy(bucket)
     sums = sums.select("source", bucket, (F.sum("in_bucket").over(before) - F.col("in_bucket")).alias("bucket_from"))
-    within = Window.partitionBy("source", bucket).orderBy(key, "doc_id", "crc").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = Window.partitionBy("source", bucket).orderBy(key, "doc_id", "size", "crc").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = rows.withColumn("upto", F.sum("size").over(within)).alias("r")
     joined = ranked.join(sums.alias("s"), F.col("r.source").eqNullSafe(F.col("s.source")) & (F.col(f"r.{bucket}") == F.col(f"s.{bucket}")))
     return joined.select("r.*", "s.bucket_from").withColumn(name, F.col("bucket_from") + F.col("upto") - F.col("size")).drop(key, bucket, "upto", "bucket_from")
@@ -73,7 +81,8 @@ def within_target(start: Column) -> Column:
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: float = 1.5, most: int = 2, seed: int = 20240607, buckets: int | None = None) -> DataFrame:
-    """doc_id, crc, size, source_size, target, taken, and ``take0``.. (words of each pass) with the stream positions ``at0``..
+    """doc_id, crc, size, source_size, target, words (the target in whole words), taken, and ``take0``.. (words of each pass) with the
+    stream positions ``at0``..
 
     One row for each row of ``docs`` (doc_id, text, source).
     """
@@ -93,69 +102,72 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: fl
     rows = rows.alias("r").join(aims.alias("a"), F.col("r.source").eqNullSafe(F.col("a.source"))).select("r.*", "a.source_size", "a.target", "a.words")
     for k in range(most):
         rows = rows.withColumn(f"take{k}", within_target(F.col(f"at{k}") + F.lit(k) * F.col("source_size")))
-    return rows.withColumn("taken", sum((F.col(f"take{k}") for k in range(1, most)), F.col("take0"))).drop("words")
+    return rows.withColumn("taken", sum((F.col(f"take{k}") for k in range(1, most)), F.col("take0")))
 
 
 def splitting_tree(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     """(source, blocks) to (source, shard, blocks): exact quotas, hypergeometric composition.
 
-    At a node the blocks of all its sources are drawn one by one without replacement: a block goes left with the chance
-    of the places left there over the blocks left.  The number of blocks is a parameter of :func:`assign`, whatever the input.
+    Every block has a token.  A node shuffles its tokens and the first go left, as many as the left half of its shards takes:
+    the sources' shares of that half then follow the multivariate hypergeometric law.  There are as many tokens as blocks, whatever the input.
     """
-    depth = max(1, (shards - 1).bit_length())
-    width = 1 << depth
-    node = quotas.withColumn("low", F.lit(0)).withColumn("span", F.lit(width))
-    total = F.sum("blocks").over(Window.partitionBy(F.lit(1)).rowsBetween(*ALL))
-    node = node.withColumn("all", total)
-    for _ in range(depth):
-        held = node.groupBy("low", "span", "all").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("source", F.lit("")).alias("s"), F.col("source").isNull().alias("no"), "blocks"))).alias("q"))
-        half = F.col("low") + (F.col("span") / 2).cast("int")
-        upto = lambda shard: F.floor(F.col("all") * F.least(shard, F.lit(shards)) / shards).cast("long")
-        places = upto(half) - upto(F.col("low"))
-        everything = F.aggregate("q", F.lit(0).cast("long"), lambda acc, x: acc + x["blocks"])
-
-        def per_source(acc: Column, x: Column) -> Column:
-            def draw(a: Column, i: Column) -> Column:
-                chance = F.pmod(F.xxhash64(F.lit(seed), F.col("low"), F.col("span"), x["s"], x["no"], i), F.lit(1 << 30)).cast("double") / float(1 << 30)
-                left = chance * a["rest"] < a["places"]
-                return F.struct((a["places"] - left.cast("long")).alias("places"), (a["rest"] - 1).alias("rest"), (a["got"] + left.cast("long")).alias("got"))
-
-            start = F.struct(acc["places"].alias("places"), acc["rest"].alias("rest"), F.lit(0).cast("long").alias("got"))
-            one = F.when(x["blocks"] > 0, F.aggregate(F.sequence(F.lit(1).cast("long"), x["blocks"]), start, draw)).otherwise(start)
-            return F.struct(one["places"].alias("places"), one["rest"].alias("rest"), F.concat(acc["out"], F.array(one["got"])).alias("out"))
-
-        first = F.struct(places.alias("places"), everything.alias("rest"), F.array().cast("array<long>").alias("out"))
-        drawn = held.withColumn("left", F.aggregate("q", first, per_source)["out"])
-        both = drawn.select("low", "span", "all", F.explode(F.arrays_zip("q", "left")).alias("z"))
-        side = F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("z.left").alias("blocks")), F.struct(F.lit(1).alias("side"), (F.col("z.q.blocks") - F.col("z.left")).alias("blocks"))))
-        node = both.select("low", "span", "all", F.when(F.col("z.q.no"), F.lit(None)).otherwise(F.col("z.q.s")).alias("source"), side.alias("x"))
-        node = node.select("source", "x.blocks", (F.col("low") + F.col("x.side") * (F.col("span") / 2).cast("int")).alias("low"), (F.col("span") / 2).cast("int").alias("span"), "all")
-        node = node.where("blocks > 0")
-    return node.select("source", F.col("low").alias("shard"), "blocks")
+    tokens = quotas.where("blocks > 0").select("source", F.explode(F.sequence(F.lit(1).cast("long"), F.col("blocks"))).alias("token"))
+    everything = Window.partitionBy(F.lit(1)).rowsBetween(*ALL)
+    node = tokens.withColumn("all", F.count(F.lit(1)).over(everything)).withColumn("low", F.lit(0)).withColumn("high", F.lit(shards))
+    upto = lambda shard: F.floor(F.col("all") * shard / F.lit(shards))  # noqa: E731  whole numbers of blocks before a shard
+    for level in range(max(1, (shards - 1).bit_length())):
+        half = F.ceil((F.col("low") + F.col("high")) / 2).cast("int")
+        shuffled = Window.partitionBy("low", "high").orderBy(random_key(F.lit(seed), F.lit("tree"), F.lit(level), F.col("source"), F.col("source").isNull(), F.col("token")))
+        node = node.withColumn("half", half).withColumn("left", F.row_number().over(shuffled) <= upto(F.col("half")) - upto(F.col("low")))
+        node = node.select("source", "token", "all", F.when(F.col("left"), F.col("low")).otherwise(F.least("half", F.col("high") - 1)).alias("low"), F.when(F.col("left"), F.col("half")).otherwise(F.col("high")).alias("high"))
+    return node.groupBy("source", F.col("low").alias("shard")).agg(F.count(F.lit(1)).alias("blocks"))
+
+
+def dealt_blocks(aims: DataFrame, shards: int, blocks: int, seed: int) -> DataFrame:
+    """(source, block, block_words, shard): each source's permuted blocks, dealt by the tree's quotas."""
+    size = F.greatest(F.lit(1).cast("long"), F.ceil(F.sum("words").over(Window.partitionBy(F.lit(1)).rowsBetween(*ALL)) / blocks))
+    quotas = aims.withColumn("block_words", size).withColumn("blocks", F.ceil(F.col("words") / F.col("block_words")))
+    running = Window.partitionBy("source").orderBy("shard")
+    ends = splitting_tree(quotas.select("source", "blocks"), shards, seed).withColumn("upto", F.sum("blocks").over(running))
+    ends = ends.select("source", "shard", F.explode(F.sequence(F.col("upto") - F.col("blocks"), F.col("upto") - 1)).alias("place"))
+    numbered = quotas.where("blocks > 0").select("source", "block_words", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+    permuted = Window.partitionBy("source").orderBy(random_key(F.lit(seed), F.lit("deal"), F.col("source"), F.col("source").isNull(), F.col("block")), "block")
+    numbered = numbered.withColumn("place", (F.row_number().over(permuted) - 1).cast("long"))
+    return numbered.alias("d").join(ends.alias("e"), F.col("d.source").eqNullSafe(F.col("e.source")) & (F.col("d.place") == F.col("e.place"))).select("d.source", "d.block", "d.block_words", "e.shard")
 
 
 def assign(mixed: DataFrame, shards: int = 8, blocks: int = 4096, seed: int = 20240607) -> DataFrame:
-    """Rows of :func:`mix`, one for each pass that takes some of a row: adds words, block, shard and order (the local shuffle key).
+    """Rows of :func:`mix` with ``shard0``.. for each pass: the shard of the block where the row begins, null if the pass takes nothing.
 
-    About ``blocks`` blocks in all; a row belongs to the block where it begins.
+    About ``blocks`` blocks in all, one more for each source at most, so the table of blocks is bounded.
     """
-    passes = [c for c in mixed.columns if c.startswith("take") and c[4:].isdigit()]
-    parts = F.explode(F.array(*[F.struct(F.lit(int(c[4:])).alias("pass"), F.col(c).alias("words"), (F.col(f"at{c[4:]}") + F.lit(int(c[4:])) * F.col("source_size")).alias("at")) for c in passes]))
-    rows = mixed.withColumn("part", parts).where("part.words > 0").select("doc_id", "crc", "source", "size", "target", "part.*")
-    aims = rows.groupBy("source").agg(F.first("target").alias("target"))
-    size = F.greatest(F.lit(1).cast("long"), F.ceil(F.sum("target").over(Window.partitionBy(F.lit(1)).rowsBetween(*ALL)) / blocks))
-    aims = aims.withColumn("block_words", size).withColumn("blocks", F.ceil(F.round("target") / F.col("block_words")))
-    aims = materialize(aims, "quotas")
-    tree = splitting_tree(aims.select("source", "blocks"), shards, seed)
-    running = Window.partitionBy("source").orderBy("shard")
-    ends = tree.withColumn("upto", F.sum("blocks").over(running)).select("source", "shard", (F.col("upto") - F.col("blocks")).alias("from"), "upto")
-    numbered = aims.select("source", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
-    permuted = Window.partitionBy("source").orderBy(F.xxhash64(F.lit(seed), "source", "block"), "block")
-    dealt = numbered.withColumn("place", F.row_number().over(permuted) - 1).alias("d").join(
-        ends.alias("e"), F.col("d.source").eqNullSafe(F.col("e.source")) & (F.col("d.place") >= F.col("e.from")) & (F.col("d.place") < F.col("e.upto"))
-    ).select("d.source", "d.block", "e.shard")
-    rows = rows.alias("r").join(aims.select("source", "block_words").alias("a"), F.col("r.source").eqNullSafe(F.col("a.source"))).select("r.*", "a.block_words")
-    rows = rows.withColumn("block", F.floor(F.col("at") / F.col("block_words")).cast("long")).drop("block_words")
-    return rows.alias("r").join(dealt.alias("d"), F.col("r.source").eqNullSafe(F.col("d.source")) & (F.col("r.block") == F.col("d.block"))).select(
-        "r.*", "d.shard", F.xxhash64(F.lit(seed), "r.doc_id", "r.crc", "r.pass").alias("order")
-    )
+    passes = sorted(c[4:] for c in mixed.columns if c.startswith("take") and c[4:].isdigit())
+    aims = mixed.groupBy("source").agg(F.first("words").alias("words"))
+    dealt = materialize(dealt_blocks(aims, shards, blocks, seed), "blocks")
+    width = dealt.groupBy("source").agg(F.first("block_words").alias("block_words"))
+    rows = mixed.alias("r").join(width.alias("w"), F.col("r.source").eqNullSafe(F.col("w.source")), "left").select("r.*", "w.block_words")
+    for p in passes:
+        starts = F.floor((F.col(f"at{p}") + F.lit(int(p)) * F.col("source_size")) / F.col("block_words")).cast("long")
+        some = dealt.select(F.col("source").alias("s"), F.col("block").alias("b"), F.col("shard").alias(f"shard{p}"))
+        rows = rows.withColumn("b_", F.when(F.col(f"take{p}") > 0, starts)).alias("r")
+        rows = rows.join(some.alias("d"), F.col("r.source").eqNullSafe(F.col("d.s")) & (F.col("r.b_") == F.col("d.b")), "left").select("r.*", f"d.shard{p}").drop("b_")
+    return rows.drop("block_words")
+
+
+def mix_into_shards(docs: DataFrame, shards: int = 8) -> DataFrame:
+    """doc_id, size, source_size, target, taken, shard0, shard1 for each row of ``docs`` (doc_id, text, source)."""
+    return assign(mix(docs), shards).select("doc_id", "size", "source_size", "target", "taken", "shard0", "shard1")
+
+
+def copies(docs: DataFrame, shards: int = 8, seed: int = 20240607) -> DataFrame:
+    """The mix itself: the rows of ``docs``, once for each pass that takes some of them, with ``shard`` and ``order``.
+
+    A row that a pass takes in part is there whole: its source then has at most that row's words more than its target.
+    """
+    kept = docs.columns
+    rows = materialize(docs.withColumn("row_", F.monotonically_increasing_id()), "docs")
+    placed = assign(mix(rows.select(F.col("row_").alias("doc_id"), "text", "source")), shards)
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("pass"), F.col(f"shard{k}").alias("shard"), F.col(f"take{k}").alias("words")) for k in range(2)]))
+    taken = placed.select(F.col("doc_id").alias("row_"), each.alias("p")).where("p.words > 0")
+    taken = taken.select("row_", F.col("p.shard").alias("shard"), F.xxhash64(F.lit(seed), "row_", "p.pass").alias("order"))
+    return rows.join(taken.withColumnRenamed("shard", "shard_").withColumnRenamed("order", "order_"), "row_").select(*[F.col(f"`{c}`") for c in kept], "shard_", "order_")

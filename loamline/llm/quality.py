@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamline.llm.common import SPACE_CLASS, drop_outer_blanks, materialize, word_count_of
+from loamline.llm.common import SPACE_CLASS, drop_outer_blanks, let, materialize, word_count_of
 
 SYMBOLS = r"[#*$%&|<>]"
 PLACE_BITS = 20
@@ -28,41 +28,38 @@ def n_repeat_words(words: Column) -> Column:
     """Words inside 3-word windows that occur at least twice.
 
     Windows are hashed, and hash and place are packed into one long, so that equal windows are neighbours after a
-    sort of plain longs.  Neighbours with equal hashes are compared word by word.
+    sort of plain longs.  Neighbours with equal hashes are compared word by word.  Texts of more words than a place has
+    bits for carry hash and place side by side.
     """
     n = F.size(words)
-    place_mask = F.lit((1 << PLACE_BITS) - 1)
-
-    def pack(w: Column, i: Column) -> Column:
-        h = F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2))
-        return F.shiftleft(F.shiftrightunsigned(h, PLACE_BITS), PLACE_BITS).bitwiseOR(i.cast("long"))
-
-    def exact(w: Column, i: Column) -> Column:
-        return F.struct(F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("i"))
-
-    heads = F.slice(words, 1, F.greatest(n - 2, F.lit(0)))
-    # Texts of more words than a place has bits for carry hash and place side by side.
-    return F.when(n < 3, F.lit(0)).when(n <= 1 << PLACE_BITS, covered(F.sort_array(F.transform(heads, pack)), words, lambda x: x.bitwiseAND(place_mask).cast("int"), lambda x: F.shiftrightunsigned(x, PLACE_BITS))).otherwise(
-        covered(F.sort_array(F.transform(heads, exact)), words, lambda x: x["i"], lambda x: x["h"])
-    )
+    mask = F.lit((1 << PLACE_BITS) - 1)
+    hashes = F.transform(F.slice(words, 1, F.greatest(n - 2, F.lit(0))), lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
+    packed = lambda h: F.transform(h, lambda x, i: F.shiftleft(F.shiftrightunsigned(x, PLACE_BITS), PLACE_BITS).bitwiseOR(i.cast("long")))
+    paired = lambda h: F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))
+    small = lambda h: covered(F.sort_array(packed(h)), words, lambda x: x.bitwiseAND(mask).cast("int"), lambda x: F.shiftrightunsigned(x, PLACE_BITS))
+    large = lambda h: covered(F.sort_array(paired(h)), words, lambda x: x["i"], lambda x: x["h"])
+    counted = lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).when(n <= 1 << PLACE_BITS, small(h)).otherwise(large(h))
+    return F.when(n < 4, F.lit(0)).otherwise(let(hashes, counted))
 
 
 def covered(ordered: Column, words: Column, place, key) -> Column:
+    """Words that the windows of ``ordered`` cover which equal a neighbour."""
+
     def same(x: Column, y: Column) -> Column:
-        p, q = place(x), place(y)
-        equal = F.get(words, p) == F.get(words, q)
-        for k in (1, 2):
-            equal = equal & (F.get(words, p + k) == F.get(words, q + k))
-        return (key(x) == key(y)) & equal
+        equal = key(x) == key(y)
+        for k in range(3):
+            equal = equal & (F.get(words, place(x) + k) == F.get(words, place(y) + k))
+        return F.coalesce(equal, F.lit(False))
 
-    def repeated(x: Column, j: Column) -> Column:
-        after, before = F.get(ordered, j + 1), F.get(ordered, j - 1)
-        return (after.isNotNull() & same(x, after)) | ((j > 0) & same(x, before))
+    def starts(o: Column) -> Column:
+        with_next = F.zip_with(o, F.slice(o, 2, F.size(o)), lambda x, y: F.coalesce(y.isNotNull() & same(x, y), F.lit(False)))
+        flagged = lambda e: F.zip_with(o, F.zip_with(e, F.concat(F.array(F.lit(False)), F.slice(e, 1, F.size(e) - 1)), lambda x, y: x | y), lambda x, f: F.when(f, place(x)))
+        return F.sort_array(F.array_compact(let(with_next, flagged)))
 
-    starts = F.sort_array(F.transform(F.filter(ordered, repeated), place))
     # Each start adds the words that the start before it does not cover.
-    first = F.struct(F.lit(0).alias("n"), F.lit(-3).alias("last"))
-    return F.aggregate(starts, first, lambda acc, p: F.struct((acc["n"] + F.least(F.lit(3), p - acc["last"])).alias("n"), p.alias("last")), lambda acc: acc["n"])
+    added = lambda s: F.zip_with(s, F.concat(F.array(F.lit(-3)), F.slice(s, 1, F.size(s) - 1)), lambda x, y: F.least(F.lit(3), x - y))
+    total = lambda s: F.when(F.size(s) == 0, F.lit(0)).otherwise(F.aggregate(added(s), F.lit(0), lambda acc, x: acc + x))
+    return let(let(ordered, starts), total)
 
 
 def base_columns(text: Column) -> tuple[Column, dict[str, Column]]:
@@ -70,7 +67,7 @@ def base_columns(text: Column) -> tuple[Column, dict[str, Column]]:
     words = drop_outer_blanks(F.split(F.coalesce(text, F.lit("")), SPACE_CLASS))
     return words, {
         "n_words": F.size("words").cast("long"),
-        "word_chars": F.length(F.regexp_replace(F.coalesce(text, F.lit("")), SPACE_CLASS, "")).cast("long"),
+        "word_chars": F.length(F.array_join("words", "")).cast("long"),
         "n_symbols": (F.length(F.coalesce(text, F.lit(""))) - F.length(F.regexp_replace(F.coalesce(text, F.lit("")), SYMBOLS, ""))).cast("long"),
     }
 

@@ -36,26 +36,39 @@ def lengths(tokenizer, pieces: list[bytes]) -> list[int]:
     return [len(e.ids) for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
-def frequent_table(docs: DataFrame, tokenizer, sample_rows: int, entries: int) -> dict[bytes, int]:
-    """Lengths of the most frequent pieces of at most ``sample_rows`` rows.  It bears on speed alone: any piece may miss."""
-    seen: Counter[bytes] = Counter()
-    short = docs.where(F.octet_length("text") <= 65536).select("text").limit(sample_rows)
-    for row in short.toLocalIterator():
-        seen.update(row[0].encode().split())
-    pieces = [p for p, n in seen.most_common(entries) if n > 1]
-    return dict(zip(pieces, lengths(tokenizer, pieces), strict=True))
+def frequent_pieces(docs: DataFrame, entries: int, held_entries: int) -> list[bytes]:
+    """The most frequent pieces of all rows, from a bounded summary of each task.
+
+    A task that holds more than ``held_entries`` pieces forgets its rarest, and hands on ``entries`` at most.  The table bears on
+    speed alone: any piece may miss.
+    """
+
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter[bytes] = Counter()
+        for batch in batches:
+            for text in batch.column(0).cast(pa.binary()):
+                seen.update((text.as_py() or b"").split())
+                if len(seen) > held_entries:
+                    seen = Counter(dict(seen.most_common(held_entries // 2)))
+        top = [x for x in seen.most_common(entries) if x[1] > 1]
+        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in top], pa.binary()), pa.array([x[1] for x in top], pa.int64())], names=["piece", "n"])
+
+    found = docs.select("text").mapInArrow(summarise, "piece binary, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+    return [bytes(r[0]) for r in found.orderBy(F.desc("n"), "piece").limit(entries).select("piece").collect()]
 
 
-def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 2048, sample_rows: int = 1000, entries: int = 50_000, cache_entries: int = 1_000_000) -> DataFrame:
+def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 2048, entries: int = 20_000, held_entries: int = 200_000, cache_entries: int = 1_000_000) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit (n_tokens > ``limit``) of each row of ``docs`` (doc_id, text).
 
-    ``sample_rows`` and ``entries`` bound the broadcast table, ``cache_entries`` each worker's cache, which
-    starts again from the table when full.
+    ``entries`` bounds the broadcast table, ``cache_entries`` each worker's cache, which starts again from the table
+    when full.
     """
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     with open(tokenizer_path, encoding="utf-8") as f:
         blob = f.read()
-    sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast((blob, frequent_table(docs, load(blob), sample_rows, entries)))
+    pieces = frequent_pieces(rows, entries, held_entries)
+    table = dict(zip(pieces, lengths(load(blob), pieces), strict=True))
+    shared = docs.sparkSession.sparkContext.broadcast((blob, table))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blob, frequent = shared.value
@@ -78,4 +91,4 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 2048, sample
                     names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SCHEMA)
+    return rows.mapInArrow(run, SCHEMA)
