@@ -84,3 +84,15 @@ def ascii_lower(text: Column) -> Column:
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once, however often it stands in ``body`` and its lambdas."""
     return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
+
+
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, with as many underscores as make it differ from all ``taken`` (case aside)."""
+    used = {t.lower() for t in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
+def quoted(df: DataFrame, without: tuple[str, ...] = ()) -> list[Column]:
+    return [F.col(f"`{c.replace('`', '``')}`") for c in df.columns if c not in without]

@@ -252,35 +252,34 @@ def scan_shard(docs: list[list[bytes]], blocks: Iterator[Windows], window: int,
     return out
 
 
-def scan(sent: list, window: int, shard_words: int):
-    """A mapInArrow function over (doc_id, text); ``sent``: broadcast blocks of the benchmark."""
-    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+def scan(sent: list, window: int, shard_words: int, at: int, finish):
+    """A mapInArrow function over rows whose column number ``at`` is the text; ``sent``: broadcast blocks of the benchmark.
+
+    ``finish`` makes the output of a shard's rows from them, their words, what was found and a function that searches again.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         single = [Windows(sent[0].value, window)] if len(sent) == 1 else None
 
-        def close(ids: list[int | None], docs: list[list[bytes]]) -> pa.RecordBatch:
-            rows = scan_shard(docs, iter(single) if single else (Windows(b, window) for b in blocks_of(sent)), window, shard_words)
-            columns = [
-                pa.array(ids, pa.int64()), pa.array([len(w) for w in docs], pa.int64()), pa.array([r[0] for r in rows], pa.int64()),
-                pa.array([r[1] for r in rows], pa.list_(pa.string())), pa.array([[{"start": a, "end": b} for a, b in r[2]] for r in rows], span),
-            ]
-            return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_hit", "items", "spans"])
+        def search(docs: list[list[bytes]]) -> list[tuple[int, list[str], list[tuple[int, int]]]]:
+            return scan_shard(docs, iter(single) if single else (Windows(b, window) for b in blocks_of(sent)), window, shard_words)
 
-        ids, docs, size = [], [], 0
+        held, docs, size = [], [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
+            first = 0
+            for k, text in enumerate(batch.column(at).cast(pa.binary())):
                 words = words_of(text.as_py())
                 if docs and size + len(words) > shard_words:
-                    yield close(ids, docs)
-                    ids, docs, size = [], [], 0
-                ids.append(doc_id)
+                    held.append(batch.slice(first, k - first))
+                    yield finish(pa.Table.from_batches(held), docs, search)
+                    held, docs, size, first = [], [], 0, k
                 docs.append(words)
                 size += len(words)
+            held.append(batch.slice(first))
         if docs:
-            yield close(ids, docs)
+            yield finish(pa.Table.from_batches(held), docs, search)
 
-    return run
+    return lambda batches: (b for table in run(batches) for b in table.to_batches())
 
 
 def grouped(pieces: list[list[bytes]], shard_words: int) -> Iterator[range]:
@@ -295,21 +294,68 @@ def grouped(pieces: list[list[bytes]], shard_words: int) -> Iterator[range]:
         yield range(start, len(pieces))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_words: int = 200_000, block_bytes: int = 32 << 20) -> DataFrame:
-    """doc_id, n_words, n_hit, items (sorted strings), spans of words, for each row of ``docs`` (doc_id, text).
-
-    ``benchmark`` (item_id, text) goes out in broadcast blocks of about ``block_bytes``; each shard is indexed
-    once and searched for one block after another.
-    """
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def sent_blocks(benchmark: DataFrame, block_bytes: int) -> list:
+    """Broadcast blocks of ``benchmark`` (item_id, text), of about ``block_bytes`` each."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.col("text").cast("string").alias("text"))
     size = items.select(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     sent = []
     for k in range(blocks):
         some = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
-        sent.append(docs.sparkSession.sparkContext.broadcast([(r[0], r[1].encode() if r[1] is not None else None) for r in some]))
-    return source.mapInArrow(scan(sent, window, shard_words), SCHEMA)
+        sent.append(benchmark.sparkSession.sparkContext.broadcast([(r[0], r[1].encode() if r[1] is not None else None) for r in some]))
+    return sent
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_words: int = 200_000, block_bytes: int = 32 << 20) -> DataFrame:
+    """doc_id, n_words, n_hit, items (sorted strings), spans of words, for each row of ``docs`` (doc_id, text).
+
+    Each shard is indexed once and searched for one block of the benchmark after another.
+    """
+    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+    def finish(rows: pa.Table, docs: list[list[bytes]], search) -> pa.Table:
+        found = search(docs)
+        columns = [
+            rows.column(0).combine_chunks(), pa.array([len(w) for w in docs], pa.int64()), pa.array([r[0] for r in found], pa.int64()),
+            pa.array([r[1] for r in found], pa.list_(pa.string())), pa.array([[{"start": a, "end": b} for a, b in r[2]] for r in found], span),
+        ]
+        return pa.table(columns, names=["doc_id", "n_words", "n_hit", "items", "spans"])
+
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return source.mapInArrow(scan(sent_blocks(benchmark, block_bytes), window, shard_words, 1, finish), SCHEMA)
+
+
+def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_words: int = 200_000, block_bytes: int = 32 << 20) -> DataFrame:
+    """The rows of ``docs``, with all their columns, less the merged spans of words that windows of ``benchmark`` hit.
+
+    A text whose remains meet in a new window is searched again, until none is left.  n_chars, if there, follows.  A row
+    of whose words none is left goes; rows without hits stay as they are.
+    """
+    at, names = docs.columns.index("text"), docs.columns
+
+    def finish(rows: pa.Table, docs: list[list[bytes]], search) -> pa.Table:
+        open_at = [(k, r[2]) for k, r in enumerate(search(docs)) if r[0]]
+        if not open_at:
+            return rows
+        texts, kept = rows.column(at).to_pylist(), [True] * len(docs)
+        changed: set[int] = set()
+        while open_at:
+            for k, spans in open_at:
+                texts[k] = without_spans(texts[k], spans)
+                changed.add(k)
+            again = [k for k, _ in open_at]
+            found = search([words_of(texts[k].encode()) for k in again])
+            open_at = [(k, r[2]) for k, r in zip(again, found, strict=True) if r[0]]
+        for k in changed:
+            kept[k] = bool(words_of(texts[k].encode()))
+        out = rows.set_column(at, rows.schema.field(at), pa.array(texts, rows.schema.field(at).type))
+        if "n_chars" in names:
+            c = names.index("n_chars")
+            chars = [len(texts[k]) if k in changed else n for k, n in enumerate(rows.column(c).to_pylist())]
+            out = out.set_column(c, rows.schema.field(c), pa.array(chars, rows.schema.field(c).type))
+        return out.filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(scan(sent_blocks(benchmark, block_bytes), window, shard_words, at, finish), docs.schema)
 
 
 def report(found: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loamline.llm.common import materialize, plain_word_count
+from loamline.llm.common import fresh, materialize, plain_word_count, quoted
 
 ALL = (Window.unboundedPreceding, Window.unboundedFollowing)
 
@@ -164,10 +164,10 @@ def copies(docs: DataFrame, shards: int = 8, seed: int = 20240607) -> DataFrame:
 
     A row that a pass takes in part is there whole: its source then has at most that row's words more than its target.
     """
-    kept = docs.columns
-    rows = materialize(docs.withColumn("row_", F.monotonically_increasing_id()), "docs")
-    placed = assign(mix(rows.select(F.col("row_").alias("doc_id"), "text", "source")), shards)
+    row, shard, order = (fresh(n, docs.columns) for n in ("row", "shard", "order"))
+    rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "docs")
+    placed = assign(mix(rows.select(F.col(row).alias("doc_id"), "text", "source")), shards)
     each = F.explode(F.array(*[F.struct(F.lit(k).alias("pass"), F.col(f"shard{k}").alias("shard"), F.col(f"take{k}").alias("words")) for k in range(2)]))
-    taken = placed.select(F.col("doc_id").alias("row_"), each.alias("p")).where("p.words > 0")
-    taken = taken.select("row_", F.col("p.shard").alias("shard"), F.xxhash64(F.lit(seed), "row_", "p.pass").alias("order"))
-    return rows.join(taken.withColumnRenamed("shard", "shard_").withColumnRenamed("order", "order_"), "row_").select(*[F.col(f"`{c}`") for c in kept], "shard_", "order_")
+    taken = placed.select(F.col("doc_id").alias(row), each.alias("p")).where("p.words > 0")
+    taken = taken.select(row, F.col("p.shard").alias(shard), F.xxhash64(F.lit(seed), row, "p.pass").alias(order))
+    return rows.join(taken, row).select(*quoted(docs), shard, order)

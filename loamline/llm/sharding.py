@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loamline.llm.common import materialize
+from loamline.llm.common import materialize, quoted
 
 ROUNDS = 4
 #: Steps of cycle walking.  At most a - 1 numbers lie beyond N, so one step fails with a chance under
@@ -62,10 +62,9 @@ def permuted(row: Column, n: Column, a: Column, b: Column, seed: int) -> Column:
 
 def numbered(rows: DataFrame, order: list[str], buckets: int | None = None) -> DataFrame:
     """Adds ``row`` (0..N-1 by hash bucket and ``order``), ``n`` = N, and the bucket's number."""
-    taken = materialize(rows, "rows")
     if buckets is None:
-        buckets = max(1024, taken.count() // 50_000)
-    slim = taken.withColumn("bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
+        buckets = max(1024, rows.count() // 50_000)
+    slim = rows.withColumn("bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
     before = Window.orderBy("bucket")
     starts = (
         slim.groupBy("bucket").agg(F.count(F.lit(1)).alias("in_bucket"))
@@ -77,14 +76,25 @@ def numbered(rows: DataFrame, order: list[str], buckets: int | None = None) -> D
     return ranked.join(starts, "bucket").withColumn("row", F.col("row_from") + F.col("rank") - 1).drop("rank", "row_from")
 
 
-def shard_rows(docs: DataFrame, shards: int = 8, seed: int = 20240607, buckets: int | None = None) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard for each row of ``docs`` (doc_id, text)."""
+def sized(docs: DataFrame) -> DataFrame:
+    """doc_id, size, text_crc32 and the whole row as ``doc``."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long"), (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
-    out = placed(numbered(rows, ["doc_id", "text_crc32", "size"], buckets), shards, seed)
+    figures = [F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")]
+    return docs.select(*figures, F.struct(*quoted(docs)).alias("doc"))
+
+
+def shard_rows(docs: DataFrame, shards: int = 8, seed: int = 20240607, buckets: int | None = None) -> DataFrame:
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard, row for each row of ``docs`` (doc_id, text)."""
+    out = placed(numbered(materialize(sized(docs).drop("doc"), "rows"), ["doc_id", "text_crc32", "size"], buckets), shards, seed)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "row")
 
 
+def shard_docs(docs: DataFrame, shards: int = 8, seed: int = 20240607, buckets: int | None = None) -> DataFrame:
+    """The rows of ``docs``, with all their columns (but earlier ones named shard or slot), and shard and slot."""
+    out = placed(numbered(sized(docs), ["doc_id", "text_crc32", "size"], buckets), shards, seed)
+    return out.select(*[F.col("doc")[c].alias(c) for c in docs.columns if c.lower() not in ("shard", "slot")], "shard", "slot")
+
+
 def placed(rows: DataFrame, shards: int, seed: int) -> DataFrame:
     """Adds shard and slot to rows that carry ``row`` and ``n``."""
     a, b = halves(F.col("n"))

@@ -32,6 +32,8 @@ WORD = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (4, 5, 6)
 THRESHOLD = 0.3
 VOTERS_PER_KIND = 3
+#: Bounds of the labelled sample that the model is fitted on.
+BOUNDS = {"max_toxic": 2500, "max_other": 5000, "max_features": 2000, "max_text_bytes": 1 << 16}
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
 
@@ -187,14 +189,14 @@ def learned(docs: DataFrame, labels: DataFrame, max_toxic: int, max_other: int,
     return Model(names, w, b)
 
 
-def score(docs: DataFrame, labels: DataFrame, max_toxic: int = 2500, max_other: int = 5000, max_features: int = 2000, max_text_bytes: int = 1 << 16) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, **bounds: int) -> DataFrame:
     """doc_id, held_out, score, predicted for each row of ``docs`` (doc_id, text).
 
-    ``labels`` (doc_id, toxic).  ``max_toxic`` and ``max_other`` bound the labelled sample, drawn by a hash of the id, of texts
-    of at most ``max_text_bytes``; every row is scored over its whole text.
+    ``labels`` (doc_id, toxic).  Of ``BOUNDS``, which ``bounds`` may change, max_toxic and max_other bound the labelled sample,
+    drawn by a hash of the id, of texts of at most max_text_bytes; every row is scored over its whole text.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    model = source.sparkSession.sparkContext.broadcast(learned(source, labels, max_toxic, max_other, max_features, max_text_bytes))
+    model = source.sparkSession.sparkContext.broadcast(learned(source, labels, **(BOUNDS | bounds)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rate = model.value.score
@@ -204,3 +206,16 @@ def score(docs: DataFrame, labels: DataFrame, max_toxic: int = 2500, max_other:
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "score", "predicted"])
 
     return source.select("doc_id", (id_crc(F.col("doc_id")) % 4 == 2).alias("held_out"), "text").mapInArrow(run, SCHEMA)
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score is below ``threshold``."""
+    at = docs.columns.index("text")
+    model = docs.sparkSession.sparkContext.broadcast(learned(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), labels, **BOUNDS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rate = model.value.score
+        for batch in batches:
+            yield batch.filter(pa.array([rate(text.as_py()) < threshold for text in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
