@@ -1,9 +1,12 @@
 """Toxicity by weak supervision.
 
 Voters: a fixed lexicon; lexicons of words and of word beginnings that stand out in toxic rows of the labelled
-sample, dealt over several voters; and patterns (several hits, hits in a short text, shouting, strings of marks).  A generative label model, fitted by expectation
-maximisation, estimates each voter's rates under either class and the correlation of voters within a class; correlated voters are
-discounted.  A linear classifier over the single words and beginnings is trained on its posterior labels.
+sample, dealt over several voters; patterns (several hits, hits to so many words, shouting, strings of marks); and the annotators'
+labels of the sample.  A generative label model, fitted by expectation maximisation, estimates each voter's rates under
+either class and the correlation of voters within a class; correlated voters are discounted.  A linear classifier over the
+single words, the beginnings and the density of hits is trained on its posterior labels.
+
+A word counts where it stands; a beginning only where it starts at least one in ``SPARSE`` of a text's words, as in a long text any will.
 
 Labels are learned from rows whose crc32(doc_id as text) mod 4 is not 2.  Null and empty texts have no features and get the
 score of the bias.  Null labels are not learned from; of several labels of one id the largest counts.  Without toxic labels the
@@ -29,7 +32,10 @@ FIXED = frozenset(
     " shut ugly coward liar creep freak bastard bitch asshole crap retard".split()
 )
 WORD = re.compile(r"[^\W\d_]+")
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (4, 5, 6, 7)
+SPARSE = 150
+#: A text is as dense as the number of these that its hits exceed, in hits to 1000 words.
+DENSITIES = (3, 6, 10, 20)
 THRESHOLD = 0.3
 VOTERS_PER_KIND = 3
 #: Bounds of the labelled sample that the model is fitted on.
@@ -37,10 +43,19 @@ BOUNDS = {"max_toxic": 2500, "max_other": 5000, "max_features": 2000, "max_text_
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
 
-def features(text: str | None) -> set[str]:
-    """Distinct words, and beginnings marked by a dash."""
-    words = set(WORD.findall((text or "").lower()))
-    return words | {w[:n] + "-" for n in BEGINNINGS for w in words if len(w) > n}
+def word_counts(text: str | None) -> Counter[str]:
+    return Counter(WORD.findall(text.lower())) if text else Counter()
+
+
+def features(words: Counter[str]) -> set[str]:
+    """Distinct words, and the frequent beginnings marked by a dash."""
+    starts: Counter[str] = Counter()
+    for n in BEGINNINGS:
+        for w, c in words.items():
+            if len(w) >= n:
+                starts[w[:n] + "-"] += c
+    least = words.total() / SPARSE
+    return set(words) | {b for b, c in starts.items() if c >= least}
 
 
 def tail(k: int, n: int, rate: float) -> float:
@@ -52,33 +67,61 @@ def tail(k: int, n: int, rate: float) -> float:
     return min(1.0, math.exp(log) / max(1e-9, 1 - min(ratio, 0.999)))
 
 
-def patterns(text: str | None, hits: int) -> list[bool]:
+def patterns(text: str | None, hits: int, words: int) -> list[bool]:
     shout = len(re.findall(r"\b[A-ZÀ-Þ]{3,}\b", text or ""))
-    words = max(1, (text or "").count(" ") + 1)
-    return [hits >= 2, hits >= 3, 50 * hits >= words, 2 * shout > words, "!!" in (text or "")]
+    return [hits >= 2, hits >= 3, *(1000 * hits > d * max(1, words) for d in DENSITIES), 2 * shout > words, "!!" in (text or "")]
+
+
+class Lexicon:
+    """Finds its words and beginnings in a text."""
+
+    def __init__(self, entries: list[str]):
+        self.number = {f: k for k, f in enumerate(entries)}
+        self.starts = frozenset(f[: BEGINNINGS[0]] for f in entries if f.endswith("-"))
+        self.lengths = sorted({len(f) - 1 for f in entries if f.endswith("-")})
+
+    def find(self, words: Counter[str]) -> tuple[list[int], int]:
+        """Numbers of the entries that count in the text, and how many of its words any entry hits."""
+        number, starts, found, begun, hits = self.number, self.starts, [], {}, 0
+        for w, c in words.items():
+            hit = w in number
+            if hit:
+                found.append(number[w])
+            if w[: BEGINNINGS[0]] in starts:
+                for n in self.lengths:
+                    k = number.get(w[:n] + "-") if len(w) >= n else None
+                    if k is not None:
+                        begun[k] = begun.get(k, 0) + c
+                        hit = True
+            if hit:
+                hits += c
+        if begun:
+            least = words.total() / SPARSE
+            found += [k for k, c in begun.items() if c >= least]
+        return sorted(found), hits
 
 
 class Model:
     """Lexicon and classifier: small, whatever the corpus."""
 
     def __init__(self, lexicon: list[str], weights: np.ndarray, bias: float):
-        self.weight = dict(zip(lexicon, weights.tolist(), strict=True))
-        self.words = frozenset(f for f in lexicon if not f.endswith("-"))
-        self.beginnings = {n: frozenset(f for f in lexicon if f.endswith("-") and len(f) == n + 1) for n in BEGINNINGS}
-        self.bias = bias
+        """``weights``: of the entries, then of the densities."""
+        self.lexicon, self.weights, self.bias = Lexicon(lexicon), weights.tolist(), bias
+        self.dense = len(lexicon)
 
     def score(self, text: str | None) -> float:
-        words = set(WORD.findall(text.lower())) if text else set()
-        at = self.bias + sum(self.weight[w] for w in words & self.words)
-        for n, known in self.beginnings.items():
-            if known:
-                at += sum(self.weight[b] for b in {w[:n] + "-" for w in words if len(w) > n} & known)
+        words = word_counts(text)
+        found, hits = self.lexicon.find(words)
+        at = self.bias + sum(self.weights[k] for k in found)
+        if hits:
+            n = words.total()
+            at += sum(self.weights[self.dense + i] for i, d in enumerate(DENSITIES) if 1000 * hits > d * n)
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, at))))
 
 
 def fixed_model() -> Model:
     lexicon = sorted(FIXED)
-    return Model(lexicon, np.full(len(lexicon), 5.0), -3.0)
+    return Model(lexicon, np.concatenate([np.full(len(lexicon), 5.0), np.zeros(len(DENSITIES))]), -3.0)
 
 
 def label_model(votes: np.ndarray, weight: np.ndarray, prior: float, rounds: int = 50) -> np.ndarray:
@@ -144,7 +187,7 @@ def learned(docs: DataFrame, labels: DataFrame, max_toxic: int, max_other: int,
         sizes = [0, 0]
         for batch in batches:
             for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seen[toxic].update(features(text))
+                seen[toxic].update(features(word_counts(text)))
                 sizes[toxic] += 1
         for kind in (0, 1):
             seen[kind][""] = sizes[kind]
@@ -162,30 +205,31 @@ def learned(docs: DataFrame, labels: DataFrame, max_toxic: int, max_other: int,
     rate = totals[0] / sum(totals)
     scored = sorted((tail(r[1], r[1] + r[2], rate), r[0]) for r in counted if r[0])
     lexicon = [f for p, f in scored if p < 1e-4][:max_features]
-    known = {f: k for k, f in enumerate(lexicon + sorted(FIXED - set(lexicon)))}
+    names = lexicon + sorted(FIXED - set(lexicon))
 
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        entries = Lexicon(names)
         for batch in batches:
             toxic, found, marks = [], [], []
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = sorted(known[f] for f in features(text) & known.keys())
-                toxic.append(label), found.append(own), marks.append(patterns(text, len(own)))
+                words = word_counts(text)
+                own, hits = entries.find(words)
+                toxic.append(label), found.append(own), marks.append(patterns(text, hits, words.total()))
             yield pa.RecordBatch.from_arrays([pa.array(toxic, pa.int32()), pa.array(found, pa.list_(pa.int32())), pa.array(marks, pa.list_(pa.bool_()))], names=["toxic", "found", "marks"])
 
     got = sorted(map(tuple, rows.mapInArrow(select, "toxic int, found array<int>, marks array<boolean>").collect()))
-    names = list(known)
-    voter_of = [(0 if f in FIXED else -1, 1 + (2 * k + f.endswith("-")) % (2 * VOTERS_PER_KIND) if f in lexicon else -1) for k, f in enumerate(names)]
-    votes = np.zeros((len(got), 1 + 2 * VOTERS_PER_KIND + 5), bool)
-    for i, (_, found, marks) in enumerate(got):
-        for f in found:
-            for voter in voter_of[f]:
-                if voter >= 0:
-                    votes[i, voter] = True
-        votes[i, 1 + 2 * VOTERS_PER_KIND :] = marks
+    voters_of = [[0] * (f in FIXED) + [1 + (2 * k + f.endswith("-")) % (2 * VOTERS_PER_KIND)] * (k < len(lexicon)) for k, f in enumerate(names)]
+    first_mark = 1 + 2 * VOTERS_PER_KIND
+    votes = np.zeros((len(got), first_mark + len(got[0][2]) + 1), bool)
+    for i, (toxic, found, marks) in enumerate(got):
+        votes[i, [v for f in found for v in voters_of[f]]] = True
+        votes[i, first_mark:-1] = marks
+        votes[i, -1] = toxic
     weight = np.array([1 / shares[t] for t, _, _ in got])
     prior = n_toxic / (n_toxic + n_other)
     posterior = label_model(votes, weight / weight.mean(), min(max(prior, 0.01), 0.99))
-    w, b = fit_linear([f for _, f, _ in got], len(names), posterior, weight)
+    used = [[*f, *(len(names) + d for d in range(len(DENSITIES)) if m[2 + d])] for _, f, m in got]
+    w, b = fit_linear(used, len(names) + len(DENSITIES), posterior, weight)
     return Model(names, w, b)
 
 
