@@ -7,8 +7,8 @@ shares no band with a chance of 5e-8.  Links are confirmed on full sets.
 
 Equal sets are one class, found by a 128-bit fingerprint, before anything is paired.  Within a band's bucket of
 up to ``SMALL`` classes all pairs are candidates; in larger ones each class is paired with the bucket's centre, another in
-every band, which is linear in the bucket.  After the components of those links are known, only pairs across
-components of one bucket are left, and those are all tested.
+every band, which is linear in the bucket.  What this leaves in different components is matched by the rarest
+elements in which it differs from a centre (:func:`across`), which misses no link.
 
 Null text, and text without words, has the empty set: n_shingles 0, linked with nothing.  Repeated rows and exact
 copies share a class; a null id is never the smallest of a component that has others.  An empty table gives an
@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from loamline.llm.common import fresh, materialize, quoted
 
@@ -219,10 +220,7 @@ def link_classes(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFra
     tried = materialize(sized(small.unionByName(large), percent).distinct(), "tried")
     reps = classes.select("k", "rep")
     linked = materialize(confirmed(tried, reps, source, percent), "confirmed")
-    rest = crossing(members, linked, tried, percent)
-    if rest is not None:
-        linked = linked.unionByName(confirmed(rest, reps, source, percent))
-    return signed, reps, linked
+    return signed, reps, across(members, linked, reps, source, percent)
 
 
 def sized(pairs: DataFrame, percent: int) -> DataFrame:
@@ -230,35 +228,91 @@ def sized(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.where(100 * F.least("an", "bn") >= percent * F.greatest("an", "bn")).select("a", "b")
 
 
-def crossing(members: DataFrame, linked: DataFrame, tried: DataFrame, percent: int) -> DataFrame | None:
-    """Untried pairs of one large bucket that the links so far leave in different components."""
+def across(members: DataFrame, linked: DataFrame, reps: DataFrame, source: DataFrame, percent: int) -> DataFrame:
+    """``linked`` and the links inside large buckets that their centres did not show.
+
+    A group holds the classes of the large buckets that have one centre.  With D the symmetric difference of a set and the
+    centre's, and W = (100 + percent) |D| - (100 - percent) |set|, two sets are similar enough just if
+    |D ∩ D'| >= (W + W') / 2 / (100 + percent).  So whatever can be linked without a common element of D is linked to the
+    group's set of least W, and those that this leaves in other components need many common elements: their rarest elements of D,
+    as many as must hold the first of them, are matched.  What edits each copy alone has is never paired.
+    """
     large = members.where(F.col("held") > SMALL).select("band", "k", "n")
-    if large.limit(1).count() == 0:
-        return None
-    roots = components(linked)
-    labelled = large.join(roots, "k", "left").select("band", "k", "n", F.coalesce("root", "k").alias("root"))
-    labelled = materialize(labelled, "labelled")
-    sizes = labelled.groupBy("band", "root").agg(F.count(F.lit(1)).alias("c"))
-    most = sizes.groupBy("band").agg(F.max(F.struct("c", "root")).alias("m"), F.count(F.lit(1)).alias("roots")).where("roots > 1").select("band", F.col("m.root").alias("main"))
-    open_ones = labelled.join(most, "band")
-    # Every crossing pair has a member outside the bucket's largest component.
-    minor = open_ones.where("root <> main").select("band", F.col("k").alias("x"), F.col("n").alias("xn"), F.col("root").alias("xr"))
-    other = open_ones.select("band", F.col("k").alias("y"), F.col("n").alias("yn"), F.col("root").alias("yr"), (F.col("root") == F.col("main")).alias("in_main"))
-    pairs = minor.join(other, "band").where((F.col("xr") != F.col("yr")) & (F.col("in_main") | (F.col("x") < F.col("y"))))
+    centres = large.groupBy("band").agg(F.min(F.struct(F.xxhash64("k").alias("h"), "k"))["k"].alias("centre"))
+    groups = materialize(large.join(centres, "band").select("centre", "k", "n").distinct(), "groups")
+    if groups.limit(1).count() == 0:
+        return linked
+    labelled = with_roots(groups, linked)
+    open_groups = labelled.groupBy("centre").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("centre")
+    labelled = materialize(labelled.join(open_groups, "centre", "left_semi"), "open")
+    sets = sets_of(labelled.select("k").union(labelled.select("centre")).distinct(), reps, source)
+    own = labelled.select("centre", "k", "n").join(sets.withColumnRenamed("shingles", "own"), "k")
+    both = own.join(sets.select(F.col("k").alias("centre"), F.col("shingles").alias("middle")), "centre").select("centre", "k", "n", "own", "middle")
+    weight = (100 + percent) * F.size("tokens") - (100 - percent) * F.col("n")
+    diffs = materialize(both.mapInArrow(differences, "centre binary, k binary, n long, tokens array<long>").withColumn("w", weight.cast("long")), "differences")
+    low = materialize(diffs.groupBy("centre").agg(F.min(F.struct("w", "k", "n")).alias("low")), "lowest")
+    star = diffs.join(low, "centre").where(F.col("k") != F.col("low.k")).select(F.col("k").alias("x"), F.col("n").alias("xn"), F.col("low.k").alias("y"), F.col("low.n").alias("yn"))
+    linked = materialize(linked.unionByName(confirmed(ordered(star, percent), reps, source, percent)), "linked")
+    # Whose component is not that of the set of least W is minor; only pairs with a minor are open.
+    rooted = with_roots(diffs, linked)
+    main = rooted.join(low, "centre").where(F.col("k") == F.col("low.k")).select("centre", F.col("root").alias("main"), F.col("low.w").alias("low_w"))
+    rooted = rooted.join(main, "centre").withColumn("minor", F.col("root") != F.col("main"))
+    minors = rooted.where("minor").groupBy("centre").agg(F.min("w").alias("minor_w"))
+    rooted = rooted.join(minors, "centre")
+    unit = 2 * (100 + percent)
+    first = lambda other: F.size("tokens") - F.greatest(F.lit(1), F.ceil((F.col("w") + F.col(other)) / F.lit(float(unit)))) + 1
+    # Of a minor, against any other and against another minor; of the rest, against a minor.
+    rooted = rooted.withColumn("narrow", first("minor_w")).withColumn("keep", F.when(F.col("minor"), first("low_w")).otherwise(F.col("narrow"))).where("keep > 0")
+    size = F.size("tokens").cast("long").alias("d")
+    tokens = materialize(rooted.select("centre", "k", "n", "w", size, "root", "minor", "narrow", "keep", F.explode("tokens").alias("token")), "tokens")
+    held = tokens.groupBy("centre", "token").agg(F.count(F.lit(1)).alias("df"))
+    rare = F.row_number().over(Window.partitionBy("centre", "k").orderBy("df", "token"))
+    prefix = tokens.join(held, ["centre", "token"]).withColumn("place", rare).where("place <= keep and df > 1")
+    # What is left of d from a place on bounds what two sets have in common, if it is their first.
+    prefix = prefix.select("centre", "token", "k", "n", "root", "minor", (F.col("place") <= F.col("narrow")).alias("narrow"), "w", (unit * (F.col("d") - F.col("place") + 1)).alias("room"))
+    prefix = materialize(prefix, "prefix")
+    named = lambda c: [F.col("k").alias(c), *[F.col(x).alias(c + x[0]) for x in ("n", "root", "w")], F.col("room").alias(c + "room")]
+    x = prefix.where("minor").select("centre", "token", F.col("narrow").alias("x_narrow"), *named("x"))
+    y = prefix.where("narrow").select("centre", "token", "minor", *named("y"))
+    fits = (F.col("xw") + F.col("yw") <= F.col("xroom")) & (F.col("xw") + F.col("yw") <= F.col("yroom"))
+    pairs = x.join(y, ["centre", "token"]).where((F.col("xr") != F.col("yr")) & (~F.col("minor") | (F.col("x_narrow") & (F.col("x") < F.col("y")))) & fits)
+    return linked.unionByName(confirmed(ordered(pairs, percent), reps, source, percent))
+
+
+def differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(centre, k, n, set of k, set of the centre) to the elements of one set alone; those of the centre are marked."""
+    with np.errstate(over="ignore"):
+        for batch in batches:
+            rows = []
+            for own, middle in zip(batch.column(3), batch.column(4), strict=True):
+                a, b = np.frombuffer(own.as_buffer(), np.uint64), np.frombuffer(middle.as_buffer(), np.uint64)
+                rows.append(np.concatenate([np.setdiff1d(a, b, assume_unique=True), mix(np.setdiff1d(b, a, assume_unique=True) + STEP)]))
+            offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
+            flat = pa.array(np.concatenate(rows).view(np.int64) if rows else np.zeros(0, np.int64), pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.ListArray.from_arrays(pa.array(offsets), flat)], names=["centre", "k", "n", "tokens"])
+
+
+def with_roots(rows: DataFrame, linked: DataFrame) -> DataFrame:
+    return rows.join(components(linked), "k", "left").withColumn("root", F.coalesce("root", "k"))
+
+
+def ordered(pairs: DataFrame, percent: int) -> DataFrame:
+    """Distinct (a, b) with a < b from (x, xn, y, yn), where sizes allow a link."""
     first_is_x = F.col("x") < F.col("y")
-    pairs = pairs.select(
-        F.when(first_is_x, F.col("x")).otherwise(F.col("y")).alias("a"), F.when(first_is_x, F.col("xn")).otherwise(F.col("yn")).alias("an"),
-        F.when(first_is_x, F.col("y")).otherwise(F.col("x")).alias("b"), F.when(first_is_x, F.col("yn")).otherwise(F.col("xn")).alias("bn"),
-    )
-    return materialize(sized(pairs, percent).distinct().join(tried, ["a", "b"], "left_anti"), "crossing")
+    pairs = pairs.select(F.when(first_is_x, F.col("x")).otherwise(F.col("y")).alias("a"), F.col("xn").alias("an"), F.when(first_is_x, F.col("y")).otherwise(F.col("x")).alias("b"), F.col("yn").alias("bn"))
+    return materialize(sized(pairs, percent).distinct(), "pairs")
 
 
-def confirmed(pairs: DataFrame, reps: DataFrame, source: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes that are similar enough on their full sets."""
-    nodes = pairs.select(F.col("a").alias("k")).union(pairs.select(F.col("b").alias("k"))).distinct()
+def sets_of(nodes: DataFrame, reps: DataFrame, source: DataFrame) -> DataFrame:
+    """(k, shingles): the full sets of classes ``nodes`` (k), read again from a text of each."""
     wanted = nodes.join(reps, "k").select("k", F.col("rep").alias("doc_id"))
     texts = source.join(wanted, source.doc_id.eqNullSafe(wanted.doc_id)).select("k", "text")
-    sets = materialize(texts.mapInArrow(full_sets, "k binary, shingles binary").dropDuplicates(["k"]), "sets")
+    return materialize(texts.mapInArrow(full_sets, "k binary, shingles binary").dropDuplicates(["k"]), "sets")
+
+
+def confirmed(pairs: DataFrame, reps: DataFrame, source: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes that are similar enough on their full sets."""
+    sets = sets_of(pairs.select(F.col("a").alias("k")).union(pairs.select(F.col("b").alias("k"))).distinct(), reps, source)
     left = sets.select(F.col("k").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("k").alias("b"), F.col("shingles").alias("right"))
     return pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInArrow(confirm(percent), "a binary, b binary")
