@@ -116,7 +116,7 @@ def html_escape(text: Column) -> Column:
 
 def message_ids(header: Column) -> Column:
     """The ids between angle brackets, trimmed, of more than 4 characters."""
-    found = F.transform(F.regexp_extract_all(header, F.lit("<([^>]*)>"), F.lit(1)), F.trim)
+    found = F.transform(F.regexp_extract_all(header, F.lit("<([^>]*)>"), F.lit(1)), lambda m: F.trim(m))
     return F.coalesce(F.filter(found, lambda x: F.length(x) > 4), F.array().cast("array<string>"))
 
 

@@ -13,7 +13,7 @@ from loamline.plans.analyze import analyze, returned_ids
 from loamline.streaming.live import ingest_stream, thread_links_stream
 
 PHONES = ["+1-800-784-2433", "(800) 784 2433", "+91-9999-111222", "00491739341784", "+44 (0) 20 7946 0958"]
-IBANS = ["DE44 5001 0517 5407 3249 31", "GB29NWBK60161331926819", "FR14 2004 1010 0505 0001 3M02 606"]
+IBANS = ["DE44500105175407324931", "GB29NWBK60161331926819", "gb29 NWBK 6016133 1926819"]
 
 
 def one(spark, column, value):
@@ -107,13 +107,15 @@ def test_ancestors_refuse_cycles(spark):
 
 @pytest.mark.parametrize("order", [[0, 1, 2], [2, 1, 0]])
 def test_thread_stream_in_any_order(spark, tmp_path, order):
+    # Else time-outs by the clock make one empty batch after another, and the stream has no end.
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     schema = "collection string, entity_id string, message_id string, in_reply_to string"
     rows = [("c", "1", "m1", None), ("c", "2", "m2", "m1"), ("c", "3", "m3", "m2")]
     for k, i in enumerate(order):
         spark.createDataFrame([rows[i]], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in" / str(k)))
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in" / "*"))
     q = thread_links_stream(stream).writeStream.format("memory").queryName(f"links{order[0]}").option("checkpointLocation", str(tmp_path / "c")).outputMode("append").trigger(availableNow=True).start()
-    assert q.awaitTermination(90)
+    assert q.awaitTermination(60)
     assert sorted(map(tuple, spark.table(f"links{order[0]}").collect())) == [("c", "2", "1"), ("c", "3", "2")]
 
 
@@ -121,6 +123,6 @@ def test_ingest_stream_appends(spark, tmp_path):
     (tmp_path / "in").mkdir()
     for k in range(2):
         (tmp_path / "in" / f"{k}.txt").write_text(f"text {k}")
-        ingest_stream(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination(90)
+        ingest_stream(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination(60)
     got = spark.read.parquet(str(tmp_path / "out")).select(F.col("props")["bodyText"][0]).collect()
     assert sorted(r[0] for r in got) == ["text 0", "text 1"]
