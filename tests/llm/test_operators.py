@@ -157,6 +157,14 @@ def test_quality(odd, rows):
     assert any(x[8] for x in want)
 
 
+@pytest.mark.parametrize("copies, depleted", [(51, True), (50, False)])
+def test_documents_of_many_words_are_depleted(spark, copies, depleted):
+    shared = " ".join("abcdefghij"[k // 10] + "klmnopqrst"[k % 10] for k in range(100))
+    texts = [f"{shared}\n{' '.join('abcdefghij'[k % 10] + 'klmnop'[k // 10] + 'qrstuvwxyz'[i] for i in range(10))}" for k in range(copies)]
+    got = quality.assess(spark.createDataFrame([(k, t, "host") for k, t in enumerate(texts)], "doc_id long, text string, source string")).collect()
+    assert len(got) == copies and all((x.n_words, x.n_removed, x.base_failed, x.kept) == (110, 100 * depleted, False, not depleted) for x in got)
+
+
 def test_long_texts_take_the_exact_path(spark, monkeypatch):
     monkeypatch.setattr(quality, "PLACE_BITS", 4)
     texts = ["a b c d a b c " * 5, "x y z " + " ".join(map(str, range(30))) + " x y z"]
