@@ -181,19 +181,43 @@ def confirm(percent: int):
     return run
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(k, root) of every node of ``edges`` (a, b): minima travel along links, then pointers jump to their root's root."""
-    both = materialize(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
-    labels = materialize(both.groupBy(F.col("a").alias("k")).agg(F.least(F.col("k"), F.min("b")).alias("root")), "labels")
-    for _ in range(max_rounds):
-        near = both.join(labels, both.b == labels.k).groupBy("a").agg(F.min("root").alias("near"))
-        hooked = labels.join(near, labels.k == near.a).select("k", F.col("root").alias("was"), F.least("root", "near").alias("root"))
-        roots = labels.select(F.col("k").alias("at"), F.col("root").alias("up"))
-        jumped = materialize(hooked.join(roots, hooked.root == roots["at"], "left").select("k", "was", F.least("root", "up").alias("root")), "labels")
-        labels = jumped.select("k", "root")
-        if jumped.where("root <> was").limit(1).count() == 0:
-            return labels
-    raise RuntimeError("components did not settle")
+def components(edges: DataFrame) -> DataFrame:
+    """(k, root) of every node of ``edges`` (a, b); a component's root is one of its nodes.
+
+    Each round hooks every node onto its smallest neighbour.  That makes trees whose roots are pairs that chose each other, of
+    which the smaller is the root; pointers jump until all show their root, and links between the trees are the next round's.
+    Each tree has two nodes at least, so rounds are at most the logarithm of the nodes, and jumps that of a tree's depth.
+    """
+    one_way = edges.where("a <> b").select("a", "b")
+    live = materialize(one_way.unionByName(one_way.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    labels = None
+    while labels is None or live.limit(1).count():
+        trees = hooked(live)
+        labels = trees if labels is None else materialize(jumped(labels, trees).select("k", "root"), "labels")
+        from_root, to_root = (trees.select(F.col("k").alias(c), F.col("root").alias(f"{c}_root")) for c in "ab")
+        between = live.join(from_root, "a").join(to_root, "b").where("a_root <> b_root")
+        live = materialize(between.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).distinct(), "links")
+    return labels
+
+
+def hooked(links: DataFrame) -> DataFrame:
+    """(k, root) of the trees that the nodes of ``links`` (a, b in both directions) make with their smallest neighbours."""
+    least = materialize(links.groupBy(F.col("a").alias("k")).agg(F.min("b").alias("up")), "hooks")
+    above = least.select(F.col("k").alias("at"), F.col("up").alias("next"))
+    first = F.when(F.col("next") == F.col("k"), F.least("k", "up")).otherwise(F.least("up", "next"))
+    trees = materialize(least.join(above, F.col("up") == F.col("at")).select("k", first.alias("root")), "trees")
+    while True:
+        found = materialize(jumped(trees, trees), "trees")
+        trees = found.select("k", "root")
+        if found.where("root <> was").limit(1).count() == 0:
+            return trees
+
+
+def jumped(labels: DataFrame, trees: DataFrame) -> DataFrame:
+    """(k, was, root): the root of each label's root, which stays where ``trees`` has none."""
+    above = trees.select(F.col("k").alias("at"), F.col("root").alias("up"))
+    named = labels.select("k", F.col("root").alias("was"))
+    return named.join(above, F.col("was") == F.col("at"), "left").select("k", "was", F.coalesce("up", "was").alias("root"))
 
 
 def link_classes(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -4,6 +4,7 @@ import random
 import re
 from collections import defaultdict
 
+import pytest
 from llm_rows import rows_of
 
 from loamline.llm import near_dedup
@@ -62,6 +63,37 @@ def test_equals_brute_force(spark):
     assert sorted(map(tuple, got)) == sorted(brute(rows))
 
 
+def test_chain_of_a_thousand_texts(spark):
+    """Each text is similar enough to its neighbours alone."""
+    texts = [" ".join(f"c{k}" for k in range(10 * i, 10 * i + 100)) for i in range(1000)]
+    rows = list(enumerate(texts))
+    random.Random(7).shuffle(rows)
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 1000 and all((x.n_shingles, x.component_id, x.kept) == (97, 0, x.doc_id == 0) for x in got)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_components_equal_a_search(spark, seed):
+    """Paths, stars, cycles, a bare pair and random links with names in any order."""
+    r = random.Random(seed)
+    links = [(i, i + 1) for i in range(300)] + [(400, 401 + i) for i in range(60)] + [(500 + i, 500 + (i + 1) % 9) for i in range(9)] + [(600, 601), (601, 600), (600, 600)]
+    links += [(700 + r.randrange(200), 700 + r.randrange(200)) for _ in range(110)]
+    links += [(1000 + i // 4, 1000 + i) for i in range(1, 100)]
+    names = r.sample(range(10**6), 1200)
+    links = [(names[a], names[b]) for a, b in links]
+    want = {}
+    for a, b in links:
+        if a != b:
+            both = want.get(a, {a}) | want.get(b, {b})
+            want.update(dict.fromkeys(both, both))
+    got = {x.k: x.root for x in near_dedup.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert set(got) == set(want)
+    groups = defaultdict(set)
+    for k, root in got.items():
+        groups[root].add(k)
+    assert all(root in group and group == want[root] for root, group in groups.items())
+
+
 def test_odd_rows(odd):
     rows = [(x.doc_id, x.text) for x in odd.collect()]
     got = near_dedup.near_duplicates(odd).collect()
