@@ -49,6 +49,41 @@ TEMPLATES = (
     Template("unlicense", "this is free and unencumbered software released into the public domain", ((2, "free and unencumbered software"),)),
 )
 
+#: Titles, usual notices and identifiers, each of which must stand in full.  A licence names others in its own text (MPL-2 the GPL 2.0, LGPL
+#: 2.1 and AGPL 3.0, GPL-3 the LGPL), so bare names without a date, a version or "under the terms of" are not among them.
+NOTICES = tuple(
+    Template(label, phrase, ((0, phrase),), 1.0)
+    for label, phrases in {
+        "mit": ("spdx license identifier mit",),
+        "apache-2": ("spdx license identifier apache 2 0",),
+        "cc-by-nc": ("creative commons attribution noncommercial", "creative commons attribution non commercial"),
+        "gpl-3": (
+            "gnu general public license version 3", "gnu general public license v3", "under the terms of version 3 of the gnu general public license",
+            "gnu general public license as published by the free software foundation either version 3 of the license",
+            "gnu general public license as published by the free software foundation version 3 of the license", "spdx license identifier gpl 3 0",
+        ),
+        "gpl-2": (
+            "gnu general public license version 2 june 1991", "gnu general public license v2", "terms of the gnu general public license version 2", "under the terms of version 2 of the gnu general public license",
+            "gnu general public license as published by the free software foundation either version 2 of the license",
+            "gnu general public license as published by the free software foundation version 2 of the license", "spdx license identifier gpl 2 0",
+        ),
+        "lgpl": (
+            "gnu lesser general public license version 3 29 june 2007", "gnu lesser general public license version 2 1 february 1999", "gnu library general public license version 2 june 1991",
+            "gnu lesser general public license v3", "gnu lesser general public license v2 1",
+            "under the terms of the gnu lesser general public license", "under the terms of the gnu library general public license", "spdx license identifier lgpl",
+        ),
+        "agpl-3": ("gnu affero general public license version 3 19 november 2007", "gnu affero general public license v3", "under the terms of the gnu affero general public license", "spdx license identifier agpl 3 0"),
+        "mpl-2": ("mozilla public license version 2 0", "spdx license identifier mpl 2 0"),
+        "bsd": ("bsd 2 clause license", "bsd 3 clause license", "spdx license identifier bsd"),
+        "cc-by-sa": ("creative commons attribution sharealike", "creative commons attribution share alike", "cc by sa"),
+        "cc-by-nd": ("creative commons attribution noderivatives", "creative commons attribution noderivs", "creative commons attribution no derivatives", "cc by nd"),
+        "cc0": ("cc0 1 0 universal", "waived all copyright and related or neighboring rights", "spdx license identifier cc0 1 0"),
+        "unlicense": ("spdx license identifier unlicense",),
+    }.items()
+    for phrase in phrases
+)
+INDEX = (*TEMPLATES, *NOTICES)
+
 
 def vocabulary(templates: tuple[Template, ...], base: dict[str, str]) -> list[str]:
     return sorted({w for t in templates for w in t.words.split()} | {w for p in base for w in p.split()})
@@ -106,7 +141,7 @@ def verified(rare: Column, hits: Column, template: Template, anchors: list[tuple
     return F.filter(places(rare, anchors), holds)
 
 
-def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, base: dict[str, str] | None = None) -> DataFrame:
+def scan(docs: DataFrame, templates: tuple[Template, ...] = INDEX, base: dict[str, str] | None = None) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score for each row of ``docs`` (doc_id, text).
 
     score: the largest share of a template's words in place, 1 where a base phrase stands, 0 without any label.

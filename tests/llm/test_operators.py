@@ -233,6 +233,35 @@ def test_licences(spark, odd, rows):
     assert sorted(x.n_words for x in licenses.scan(odd).collect()) == sorted(len(alnum(x.text)) for x in rows)
 
 
+def test_licences_by_their_own_titles_and_notices(spark):
+    published = "as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+    found = {
+        "GNU GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007": "gpl-3",
+        "redistribute it and/or modify it under the terms of the GNU General Public License " + published.format(3): "gpl-3",
+        "GNU GENERAL PUBLIC LICENSE\n  Version 2, June 1991": "gpl-2",
+        "it under the terms of the GNU General Public License " + published.format(2): "gpl-2",
+        "it under the terms of the GNU General Public License version 2 as published": "gpl-2",
+        "under the terms of the GNU Lesser General Public License " + published.format("2.1"): "lgpl",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007": "lgpl",
+        "under the terms of the GNU Affero General Public License " + published.format(3): "agpl-3",
+        "GNU AFFERO GENERAL PUBLIC LICENSE\nVersion 3, 19 November 2007": "agpl-3",
+        "Mozilla Public License Version 2.0": "mpl-2",
+        "CC0 1.0 Universal": "cc0",
+        "Creative Commons Attribution-ShareAlike 4.0 International": "cc-by-sa",
+        "Creative Commons Attribution-NoDerivatives 4.0 International": "cc-by-nd",
+        "Creative Commons Attribution-NonCommercial 4.0 International": "cc-by-nc",
+        "// SPDX-License-Identifier: GPL-2.0-only": "gpl-2",
+        "BSD 3-Clause License": "bsd",
+        # Licences that name others in their texts.
+        "means either the GNU General Public License, Version 2.0, the GNU Lesser General Public License, Version 2.1, the GNU Affero General Public License, Version 3.0": "",
+        "use the GNU Lesser General Public License instead of this License": "",
+        "a work licensed under version 3 of the GNU Affero General Public License into a single combined work": "",
+        "incorporates the terms and conditions of version 3 of the GNU General Public License": "",
+    }
+    got = {x.doc_id: x for x in licenses.scan(spark.createDataFrame(list(enumerate(found)), "doc_id long, text string")).collect()}
+    assert [(got[i].labels, got[i].score) for i in range(len(found))] == [(label, float(label != "")) for label in found.values()]
+
+
 # 8 decontamination
 
 
