@@ -30,8 +30,10 @@ def drop_benchmark_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
-    return mixing.copies(docs).select(*quoted(docs))
+    """Documents as often as the mix takes them, shard after shard, each in its local order."""
+    mixed = materialize(mixing.copies(docs), "mixed")
+    shard, order = mixed.columns[-2:]
+    return mixed.repartitionByRange(shard, order).sortWithinPartitions(shard, order).select(*quoted(docs))
 
 
 def place_in_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ from llm_rows import rows_of
 from test_operators import alnum, brute_hits
 
 import corpus_pipeline
-from loamline.llm import queries, toxicity
+from loamline.llm import mixing, queries, toxicity
 
 SF = "/root/testdata/sf0.001"
 
@@ -42,6 +42,14 @@ def test_pipeline(spark):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+def test_mixing_lays_rows_out_by_shard_and_order(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    mixed = mixing.copies(docs)
+    want = [x.doc_id for x in sorted(mixed.collect(), key=lambda x: (x.shard, x.order))]
+    parts = corpus_pipeline.mix_sources(spark, docs, SF).rdd.glom().collect()
+    assert [x.doc_id for part in parts for x in part] == want and len({x.shard for x in mixed.collect()}) == 8
+
+
 def test_stages_return_the_columns_of_documents(spark, odd):
     docs = odd
     for _, stage in corpus_pipeline.STAGES[:-1]:
