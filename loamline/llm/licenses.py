@@ -3,7 +3,8 @@
 Templates are short runs of words that licences state.  The index holds, for each template, its words with their offsets;
 a template's anchors are its words of highest IDF, where IDF counts all documents that are scanned.  A document's anchor places, less
 their offsets, are the starts where the template may stand (postings intersected by relative position); at such a
-start enough of the template's words must stand in place, and every mandatory key phrase must be there in full.
+start enough of the template's words must stand in place, and every mandatory key phrase must be there in full.  The rarest words are chosen
+for each template, not for each file, so that a licence is found however rare the words of another one beside it are.
 
 The base phrases are the index's mandatory phrases of all their words, so a base place needs no more than its own words.
 
@@ -20,7 +21,8 @@ from pyspark.sql import functions as F
 
 from loamline.llm.common import alnum_words, ascii_lower, materialize
 
-BASE = {"mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
+#: The base phrases and their labels.
+BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
 
 @dataclass(frozen=True)
@@ -54,7 +56,7 @@ TEMPLATES = (
 NOTICES = tuple(
     Template(label, phrase, ((0, phrase),), 1.0)
     for label, phrases in {
-        "mit": ("spdx license identifier mit",),
+        "mit": ("mit license", "spdx license identifier mit"),
         "apache-2": ("spdx license identifier apache 2 0",),
         "cc-by-nc": ("creative commons attribution noncommercial", "creative commons attribution non commercial"),
         "gpl-3": (
@@ -85,60 +87,53 @@ NOTICES = tuple(
 INDEX = (*TEMPLATES, *NOTICES)
 
 
-def vocabulary(templates: tuple[Template, ...], base: dict[str, str]) -> list[str]:
-    return sorted({w for t in templates for w in t.words.split()} | {w for p in base for w in p.split()})
+def vocabulary(templates: tuple[Template, ...]) -> list[str]:
+    return sorted({w for t in templates for w in t.words.split()})
 
 
-def hits_of(docs: DataFrame, words_in: list[str]) -> DataFrame:
-    """doc_id, n_words and ``hits``: (place, word) of the words that the index knows, in order."""
+def known_words(docs: DataFrame, words_in: list[str]) -> DataFrame:
+    """doc_id, n_words and ``known``: the text's words in place, null where the index does not know them."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), alnum_words(ascii_lower(F.col("text").cast("string"))).alias("words"))
-    known = F.array_compact(F.transform("words", lambda w, i: F.when(w.isin(words_in), F.struct(i.alias("p"), w.alias("w")))))
-    return rows.select("doc_id", F.size("words").cast("long").alias("n_words"), known.alias("hits"))
+    known = F.transform("words", lambda w: F.when(w.isin(words_in), w))
+    return rows.select("doc_id", F.size("words").cast("long").alias("n_words"), known.alias("known"))
 
 
-def anchors_of(hits: DataFrame, templates: tuple[Template, ...], each: int = 2) -> dict[int, list[tuple[int, str]]]:
+def anchors_of(known: DataFrame, templates: tuple[Template, ...], each: int = 2) -> list[list[tuple[int, str]]]:
     """For each template its (offset, word) of highest IDF within the mandatory phrases; ties by offset.
 
     One row for each word of the index's own vocabulary comes to the driver.
     """
-    df = hits.select(F.explode(F.array_distinct(F.transform("hits", lambda x: x["w"]))).alias("w")).groupBy("w").count()
+    df = known.select(F.explode(F.array_compact(F.array_distinct("known"))).alias("w")).groupBy("w").count()
     seen = {r[0]: r[1] for r in df.collect()}
-    out: dict[int, list[tuple[int, str]]] = {}
-    for k, t in enumerate(templates):
-        mandatory = [(at + j, w) for at, phrase in t.keys for j, w in enumerate(phrase.split())]
-        out[k] = sorted(mandatory, key=lambda x: (seen.get(x[1], 0), x[0]))[:each]
-    return out
+    mandatory = ([(at + j, w) for at, phrase in t.keys for j, w in enumerate(phrase.split())] for t in templates)
+    return [sorted(words, key=lambda x: (seen.get(x[1], 0), x[0]))[:each] for words in mandatory]
 
 
-def places(rare: Column, anchors: list[tuple[int, str]]) -> Column:
-    """Starts that all anchors agree on."""
-    starts_of = lambda at, w: F.transform(F.filter(rare, lambda x: x["w"] == w), lambda x: x["p"] - at)
-    found = [starts_of(at, w) for at, w in anchors]
-    out = found[0]
-    for f in found[1:]:
-        out = F.array_intersect(out, f)
-    return F.filter(F.array_distinct(out), lambda s: s >= -64)
+def index_of(templates: tuple[Template, ...], anchors: list[list[tuple[int, str]]]) -> Column:
+    """The index as one literal: for each template its label, words with offsets, need, anchors and key phrases."""
+    placed = lambda words: F.array(*[F.struct(F.lit(at).alias("at"), F.lit(w).alias("w")) for at, w in words])
+    return F.array(*[
+        F.struct(
+            F.lit(k).alias("k"), placed(enumerate(t.words.split())).alias("words"), F.lit(max(1, int(t.share * len(t.words.split()) + 0.999))).alias("need"), placed(own).alias("anchors"),
+            placed((at + j, w) for at, phrase in t.keys for j, w in enumerate(phrase.split())).alias("keys"),
+        )
+        for k, (t, own) in enumerate(zip(templates, anchors, strict=True))
+    ])
 
 
-def in_place(hits: Column, start: Column, words: list[str], at: int = 0) -> Column:
-    """How many of ``words`` stand at start + at, start + at + 1, ..."""
-    wanted = F.array(*map(F.lit, words))
-    inside = F.filter(hits, lambda x: (x["p"] >= start + at) & (x["p"] < start + at + len(words)))
-    return F.size(F.filter(inside, lambda x: F.get(wanted, x["p"] - start - at) == x["w"]))
+def in_place(known: Column, start: Column, words: Column) -> Column:
+    """How many of ``words`` (at, w) stand at their offsets from ``start``: one look for each, however long the text."""
+    return F.size(F.filter(words, lambda x: (start + x["at"] >= 0) & (F.get(known, start + x["at"]) == x["w"])))
 
 
-def verified(rare: Column, hits: Column, template: Template, anchors: list[tuple[int, str]]) -> Column:
-    """Starts of a template whose key phrases are whole and whose words stand in place."""
-    words = template.words.split()
-    need = max(1, int(template.share * len(words) + 0.999))
-
-    def holds(start: Column) -> Column:
-        ok = in_place(hits, start, words) >= need
-        for at, phrase in template.keys:
-            ok = ok & (in_place(hits, start, phrase.split(), at) == len(phrase.split()))
-        return ok
-
-    return F.filter(places(rare, anchors), holds)
+def occurrences(rare: Column, known: Column, template: Column) -> Column:
+    """(k, start, share) of a template: starts that all anchors agree on, whose key phrases are whole and whose words stand in place."""
+    starts_of = lambda a: F.transform(F.filter(rare, lambda x: x["w"] == a["w"]), lambda x: x["p"] - a["at"])
+    first, last = (F.element_at(template["anchors"], n) for n in (1, -1))
+    whole = lambda s: in_place(known, s, template["keys"]) == F.size(template["keys"])
+    counted = F.transform(F.filter(F.array_intersect(starts_of(first), starts_of(last)), whole), lambda s: F.struct(template["k"].alias("k"), s.alias("start"), in_place(known, s, template["words"]).alias("n")))
+    enough = F.filter(counted, lambda x: x["n"] >= template["need"])
+    return F.transform(enough, lambda x: F.struct(x["k"].alias("k"), x["start"].alias("start"), (x["n"] / F.size(template["words"])).alias("share")))
 
 
 def scan(docs: DataFrame, templates: tuple[Template, ...] = INDEX, base: dict[str, str] | None = None) -> DataFrame:
@@ -146,26 +141,20 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = INDEX, base: dict[st
 
     score: the largest share of a template's words in place, 1 where a base phrase stands, 0 without any label.
     """
-    base = BASE if base is None else base
-    hits = materialize(hits_of(docs, vocabulary(templates, base)), "hits")
-    anchors = anchors_of(hits, templates)
-    phrases = tuple(Template(label, phrase, ((0, phrase),), 1.0) for phrase, label in base.items())
-    rare = {w for own in anchors.values() for _, w in own} | {w for p in base for w in p.split()}
-    rows = hits.withColumn("rare", F.filter("hits", lambda x: x["w"].isin(sorted(rare))))
-    for k, t in enumerate(phrases):
-        own = [(j, w) for j, w in enumerate(t.words.split())]
-        rows = rows.withColumn(f"b{k}", F.filter(verified(F.col("rare"), F.col("hits"), t, own), lambda s: s >= 0))
-    for k, t in enumerate(templates):
-        rows = rows.withColumn(f"t{k}", verified(F.col("rare"), F.col("hits"), t, anchors[k]))
-    every = F.concat(*[F.col(f"b{k}") for k in range(len(phrases))])
-    base_labels = F.array_distinct(F.concat(*[F.when(F.size(f"b{k}") > 0, F.array(F.lit(t.label))).otherwise(F.array().cast("array<string>")) for k, t in enumerate(phrases)]))
-    method = F.concat(*[F.when(F.size(f"t{k}") > 0, F.array(F.lit(t.label))).otherwise(F.array().cast("array<string>")) for k, t in enumerate(templates)])
-    share_of = lambda t, starts: F.array_max(F.transform(starts, lambda s: in_place(F.col("hits"), s, t.words.split()) / float(len(t.words.split()))))
-    shares = [F.when(F.size(f"t{k}") > 0, share_of(t, f"t{k}")) for k, t in enumerate(templates)]
-    rows = rows.withColumn("every", every).withColumn("base_list", base_labels).withColumn("method_list", method)
+    phrases = tuple(Template(label, phrase, ((0, phrase),), 1.0) for phrase, label in (BASE if base is None else base).items())
+    index = (*phrases, *templates)
+    known = materialize(known_words(docs, vocabulary(index)), "known")
+    anchors = anchors_of(known, index)
+    rare = sorted({w for own in anchors for _, w in own})
+    hits = F.array_compact(F.transform("known", lambda w, i: F.when(w.isin(rare), F.struct(i.alias("p"), w.alias("w")))))
+    looked_up = F.flatten(F.transform(index_of(index, anchors), lambda t: occurrences(F.col("rare"), F.col("known"), t)))
+    none = F.array().cast("array<struct<k int, start int, share double>>")
+    rows = known.withColumn("rare", hits).withColumn("found", F.when(F.size("rare") > 0, looked_up).otherwise(none))
+    rows = rows.select("doc_id", "n_words", "found", F.transform(F.filter("found", lambda x: x["k"] < len(phrases)), lambda x: x["start"]).alias("every"))
+    label_of = F.array(*[F.lit(t.label) for t in index])
+    labels = lambda found: F.array_join(F.array_sort(F.array_distinct(F.transform(found, lambda x: F.get(label_of, x["k"])))), ",")
     return rows.select(
         "doc_id", "n_words", F.size("every").cast("long").alias("n_base"), F.array_min("every").cast("long").alias("first_word"), F.array_max("every").cast("long").alias("last_word"),
-        F.array_join(F.array_sort("base_list"), ",").alias("base_labels"),
-        F.array_join(F.array_sort(F.array_distinct(F.concat("base_list", "method_list"))), ",").alias("labels"),
-        F.when(F.size("every") > 0, F.lit(1.0)).otherwise(F.coalesce(F.greatest(*shares, F.lit(0.0)), F.lit(0.0))).alias("score"),
+        labels(F.filter("found", lambda x: x["k"] < len(phrases))).alias("base_labels"), labels(F.col("found")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("found", lambda x: x["share"])), F.lit(0.0)).alias("score"),
     )

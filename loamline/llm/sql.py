@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loamline.llm.licenses import BASE, TEMPLATES, Template
+from loamline.llm.licenses import NOTICES, TEMPLATES, Template
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWERED = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
@@ -121,6 +121,10 @@ FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
 """
 
 
+#: Fixed values of the contract, written out here and not taken from the operator.
+PHRASES = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
+
+
 def stands(words: list[str], at: str) -> str:
     """Whether ``words`` stand at the 0-based place ``at``."""
     return " AND ".join(f"w[{at} + {j + 1}] = '{x}'" for j, x in enumerate(words))
@@ -140,22 +144,22 @@ def in_place(words: list[str], s: str) -> str:
     return "(" + " + ".join(f"CASE WHEN {s} + {j} >= 0 AND w[{s} + {j + 1}] = '{x}' THEN 1 ELSE 0 END" for j, x in enumerate(words)) + ")"
 
 
-def op7(templates: tuple[Template, ...] = TEMPLATES, base: dict[str, str] | None = None) -> str:
-    base = BASE if base is None else base
-    phrases = [(p.split(), label) for p, label in base.items()]
-    columns = [f"list_filter(range(0, len(w)), lambda p: {stands(p, 'p')}) AS b{k}" for k, (p, _) in enumerate(phrases)]
+def op7(templates: tuple[Template, ...] = TEMPLATES, notices: tuple[Template, ...] = NOTICES) -> str:
+    columns = [f"list_filter(range(0, len(w)), lambda p: {stands(p.split(), 'p')}) AS b{k}" for k, (p, _) in enumerate(PHRASES)]
     columns += [f"{starts(t)} AS t{k}" for k, t in enumerate(templates)]
-    every = " || ".join(f"b{k}" for k in range(len(phrases)))
-    from_base = [f"CASE WHEN len(b{k}) > 0 THEN ['{label}'] ELSE [] END" for k, (_, label) in enumerate(phrases)]
-    from_method = [f"CASE WHEN len(t{k}) > 0 THEN ['{t.label}'] ELSE [] END" for k, t in enumerate(templates)]
+    columns += [f"contains(flat, ' {t.words} ') AS c{k}" for k, t in enumerate(notices)]
+    every = " || ".join(f"b{k}" for k in range(len(PHRASES)))
+    from_base = [f"CASE WHEN len(b{k}) > 0 THEN ['{label}'] ELSE [] END" for k, (_, label) in enumerate(PHRASES)]
+    from_method = [f"CASE WHEN len(t{k}) > 0 THEN ['{t.label}'] ELSE [] END" for k, t in enumerate(templates)] + [f"CASE WHEN c{k} THEN ['{t.label}'] ELSE [] END" for k, t in enumerate(notices)]
     shares = [f"coalesce(list_max(list_transform(t{k}, lambda s: {in_place(t.words.split(), 's')} / {len(t.words.split())}::DOUBLE)), 0.0::DOUBLE)" for k, t in enumerate(templates)]
+    whole = " OR ".join([f"len({every}) > 0", *[f"c{k}" for k in range(len(notices))]])
     return f"""
-WITH docs AS (SELECT doc_id, regexp_extract_all({LOWERED}, '{ALNUM}') AS w FROM documents
+WITH docs AS (SELECT doc_id, w, ' ' || array_to_string(w, ' ') || ' ' AS flat FROM (SELECT doc_id, regexp_extract_all({LOWERED}, '{ALNUM}') AS w FROM documents)
 ), found AS (SELECT doc_id, w, {", ".join(columns)} FROM docs)
 SELECT doc_id, len(w)::BIGINT AS n_words, len({every})::BIGINT AS n_base, list_min({every})::BIGINT AS first_word, list_max({every})::BIGINT AS last_word,
   coalesce(array_to_string(list_sort(list_distinct({" || ".join(from_base)})), ','), '') AS base_labels,
   coalesce(array_to_string(list_sort(list_distinct({" || ".join(from_base + from_method)})), ','), '') AS labels,
-  CASE WHEN len({every}) > 0 THEN 1.0::DOUBLE ELSE greatest({", ".join(shares)}) END AS score
+  CASE WHEN {whole} THEN 1.0::DOUBLE ELSE greatest({", ".join(shares)}) END AS score
 FROM found
 """
 
