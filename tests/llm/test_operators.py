@@ -347,7 +347,7 @@ def test_token_counts(spark, odd, rows):
         n = len(whole.encode(x.text or "", add_special_tokens=False).ids)
         want.append((x.doc_id, len((x.text or "").encode()), n, n > 2048))
     assert rows_of(token_counts.count_tokens(docs, path)) == sorted(want, key=str)
-    assert rows_of(token_counts.count_tokens(docs, path, entries=3, held_entries=10, cache_entries=20)) == sorted(want, key=str)
+    assert rows_of(token_counts.count_tokens(docs, path, cache_entries=20, part_bytes=100)) == sorted(want, key=str)
 
 
 # 10 main text
