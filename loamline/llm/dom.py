@@ -20,6 +20,13 @@ SILENT = frozenset("script style template head title noembed noframes svg math c
 RAW = frozenset("script style textarea title noembed noframes iframe xmp".split())
 #: Elements without content.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Drawings and formulas, the places in them that hold HTML again, and the tags of HTML that end them elsewhere.
+FOREIGN = frozenset({"svg", "math"})
+ISLANDS = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+BREAKS_OUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub"
+    " sup table tt u ul var".split()
+)
 #: An open element of a kind ends at the start of one of these, unless one of the scopes stands between.
 ENDS = {
     "li": (frozenset({"li"}), frozenset({"ul", "ol", "menu", "dir"})),
@@ -36,8 +43,15 @@ ENDS = {
 HEADINGS = frozenset({"h1", "h2", "h3", "h4", "h5", "h6"})
 KEEPS_PARAGRAPH = frozenset("option optgroup label button select textarea iframe object noscript body html tbody thead tfoot tr td th legend".split())
 
-TAG = re.compile(r"<(?:!--.*?(?:--!?>|\Z)|!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|[!?][^>]*(?:>|\Z)|(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^\"'>]|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|\Z))", re.S)
-ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+#: Attributes as the states of an HTML tokenizer read them: a quote opens a value just after ``=``; anywhere else it belongs to a name or an
+#: unquoted value.  A quote that nothing closes opens none.
+VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>]*+)"""
+ATTRIBUTES = rf"(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+{VALUE})?)*+"
+TAG = re.compile(
+    r"<(?:!--(?:-?>|.*?(?:--!?>|\Z))|!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|[!?][^>]*(?:>|\Z)|/(?:>|[^a-zA-Z>][^>]*(?:>|\Z))"
+    rf"|(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>{ATTRIBUTES})(?:>|\Z))", re.S,
+)
+ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
 RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I) for name in RAW}
 TOKENS = re.compile(r"[a-z]+")
 NO_TOKENS: tuple[str, ...] = ()
@@ -113,7 +127,11 @@ def parse(html: str) -> Node:
                 if name in silent:
                     while silent.pop() != name:
                         pass
-                continue
+                    continue
+                # The end of a block around an element that nothing closed ends that element too.
+                if "template" in silent or name not in BLOCKS or all(n.tag != name for n in chain(at)):
+                    continue
+                silent.clear()
             if name in BLOCKS:
                 up = at
                 while up is not root and up.tag != name:
@@ -130,22 +148,20 @@ def parse(html: str) -> Node:
                 while inline.pop() != name:
                     pass
             continue
+        if silent and name in BREAKS_OUT and silent[-1] not in ISLANDS:
+            outer = next((k for k in range(len(silent) - 1, -1, -1) if silent[k] in FOREIGN or silent[k] in ISLANDS), -1)
+            if outer >= 0 and silent[outer] in FOREIGN:
+                del silent[outer:]
         if name == "br":
             add(" ", True)
             continue
-        if silent:
-            if name in RAW:
+        foreign = name in FOREIGN or (bool(silent) and not FOREIGN.isdisjoint(silent))
+        if silent or name in SILENT:
+            if name in RAW and not foreign:
                 end = RAW_END[name].search(html, done)
                 done = end.start() if end else len(html)
-            if name not in VOID and not attrs.endswith("/"):
-                silent.append(name)
-            continue
-        if name in SILENT:
-            if name != "head" and not attrs.endswith("/"):
+            if name not in VOID and (silent or name != "head") and not (foreign and attrs.endswith("/")):
                 silent.append(name)
-                if name in RAW:
-                    end = RAW_END[name].search(html, done)
-                    done = end.start() if end else len(html)
             continue
         if name in BLOCKS:
             if run:
@@ -178,7 +194,7 @@ def parse(html: str) -> Node:
                 stop = end.start() if end else len(html)
                 add(html[done:stop])
                 done = stop
-        elif name not in VOID and not attrs.endswith("/"):
+        elif name not in VOID:
             if name == "a" and "a" in inline:
                 inline.remove("a")
             inline.append(name)

@@ -164,4 +164,14 @@ FROM found
 """
 
 
-ORACLES = {"op2_mixing": OP2, "op3_near_dedup": OP3, "op4_quality": OP4, "op7_licenses": op7(), "op8_decontamination": OP8}
+#: Holds where, as in the tables at hand, a page's main text is one article element with paragraphs, headings, bold text and line ends.
+OP10 = r"""
+WITH inside AS (
+  SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article[^>]*>(.*)</article>', 1), '(?s)<!--.*?-->|<script.*?</script>|<style.*?</style>|</?b>', '', 'g') AS h FROM pages
+), bare AS (
+  SELECT page_id, url, replace(replace(replace(replace(regexp_replace(h, '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)) AS t FROM inside
+), texts AS (SELECT page_id, url, trim(regexp_replace(regexp_replace(t, '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS text FROM bare)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM texts
+"""
+
+ORACLES = {"op2_mixing": OP2, "op3_near_dedup": OP3, "op4_quality": OP4, "op7_licenses": op7(), "op8_decontamination": OP8, "op10_html_extraction": OP10}

@@ -6,6 +6,7 @@ import re
 import time
 import zlib
 from collections import Counter
+from html.parser import HTMLParser
 
 import numpy as np
 import public_tokenizers
@@ -380,6 +381,53 @@ def test_parser_repairs():
     assert runs("a<!-- <p>no</p> -->b<script>no</script><STYLE>no</style><textarea><b></textarea><p title='>'>c&lt;<a title=\"x>d</p>") == ["ab", "<b>", "c<d"]
 
 
+@pytest.mark.parametrize(
+    ("html", "runs"),
+    [
+        ('<p title="5" tall">Hello world.</p><p class="x">More text.</p>', ["Hello world.", "More text."]), ("<p class=it's>A b.</p><p>Don't c.</p>", ["A b.", "Don't c."]),
+        ('<p a = "x>y">q</p>z', ["q", "z"]), ('<p a=">b</p>', ["b"]), ('<p =a="b">q', ["q"]), ("<p><svg><g>x<p>rest", ["rest"]), ("<article><canvas>no<p>no</p></article>after", ["after"]),
+        ("<p><svg><foreignObject><p>no</p></foreignObject><path d='1'/></svg>rest", ["rest"]), ("<!-->a<!-- no -->b<!--->c", ["abc"]), ("<a href=x/y/>k</a>", ["k"]), ("x </ 3>y</>z", ["x yz"]),
+        ("<script src=x/>no</script>text", ["text"]), ('<p a=b"c>t</p>d"', ["t", 'd"']), ("<template><p>no</template>y<br/>w", ["y w"]),
+    ],
+)
+def test_parser_of_malformed_tags(html, runs):
+    assert [n.text for n in html_extraction.Page(dom.parse(html)).nodes if n.tag == "#"] == runs
+
+
+class Article(HTMLParser):
+    """The text of article elements, by another parser than the operator's."""
+
+    def __init__(self):
+        super().__init__()
+        self.open, self.out = [], []
+
+    def handle_starttag(self, tag, attrs):
+        if tag not in ("br", "img", "meta"):
+            self.open.append(tag)
+        if tag not in ("a", "b", "i", "em", "strong", "span"):
+            self.out.append(" ")
+
+    def handle_endtag(self, tag):
+        if tag in self.open:
+            while self.open.pop() != tag:
+                pass
+        self.out.append("" if tag in ("a", "b", "i", "em", "strong", "span") else " ")
+
+    def handle_data(self, data):
+        if "article" in self.open and not {"script", "style", "nav", "aside", "footer", "form"} & set(self.open):
+            self.out.append(data)
+
+
+def test_main_text_of_the_table_is_that_of_its_articles(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = {x.page_id: x.text for x in html_extraction.extract(pages).collect()}
+    for x in pages.collect():
+        parser = Article()
+        parser.feed(x.html or "")
+        parser.close()
+        assert got[x.page_id] == " ".join("".join(parser.out).split())
+
+
 def test_empty_tables(spark, none):
     no_labels, no_items = spark.createDataFrame([], "doc_id long, toxic int"), spark.createDataFrame([], "item_id long, text string")
     no_pages = spark.createDataFrame([], "page_id long, url string, html string")

@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "pages"):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     want = con.execute(queries.oracle_sql()[name])
     columns = [d[0] for d in want.description]
