@@ -37,50 +37,76 @@ def rows(odd):
 
 
 def spoken(r, lang):
-    return " ".join("".join(r.choice({"en": "thewand", "de": "schüeri"}[lang]) for _ in range(r.randint(2, 7))) for _ in range(40))
+    letters = {"en": "thewand", "de": "schüeri", "ru": "приветоаы", "uk": "привітоеї", "el": "καλημέραο", "zh": "的一是不了人我在"}
+    return " ".join("".join(r.choice(letters[lang]) for _ in range(r.randint(2, 7))) for _ in range(40))
 
 
 def test_languages_of_held_out_rows(spark):
     r = random.Random(1)
-    langs = ["en", "de"] * 60
+    langs = ["en", "de", "ru", "uk", "el", "zh"] * 60
     table = [(i, spoken(r, lang), lang if i % 9 else None) for i, lang in enumerate(langs)] + [(900, None, "en"), (901, "12 !?", None), (902, "", "de")]
-    got = {x.doc_id: x for x in language_id.identify(spark.createDataFrame(table, "doc_id long, text string, lang string"), size=16).collect()}
+    got = {x.doc_id: x for x in language_id.identify(spark.createDataFrame(table, "doc_id long, text string, lang string")).collect()}
     assert all(got[i].lang_pred == lang for i, lang in enumerate(langs))
     assert all(got[i].lang_pred == "und" and got[i].score == 0 for i in (900, 901, 902))
     assert all(x.held_out == (zlib.crc32(str(x.doc_id).encode()) % 3 == 1) and 0 <= x.score <= 1 for x in got.values())
 
 
-def test_code_lengths_are_those_of_matching_with_escapes():
-    size = 3
-    counts = np.zeros(size ** (language_id.ORDER + 1), np.int32)
-    text = np.array([0, 1, 2, 0, 1, 1, 0, 1, 2, 2, 1, 0], np.uint8)
-    np.add.at(counts, language_id.grams(text, size), 1)
-    lengths = language_id.code_lengths(counts, size).reshape(-1, size) / language_id.UNIT
-    seen = {}
-    for k in range(len(text)):
-        full = (0,) * language_id.ORDER + tuple(text)
-        context = full[k : k + language_id.ORDER]
-        for n in range(language_id.ORDER + 1):
-            seen.setdefault(context[n:], Counter())[int(text[k])] += 1
-
-    def chance(context, symbol, excluded=frozenset()):
+class Contexts:
+    """Prediction by partial matching, one symbol at a time, from the texts that it is given."""
+
+    def __init__(self, texts, order):
+        self.order, self.seen = order, {}
+        for text in texts:
+            for k, s in enumerate(text):
+                before = self.before(text, k)
+                for n in range(order + 1):
+                    self.seen.setdefault(before[n:], Counter())[s] += 1
+
+    def before(self, text, k):
+        return ((0,) * self.order + tuple(text))[k : k + self.order]
+
+    def chance(self, context, symbol):
         if context is None:
-            return 1 / len(set(range(size)) - excluded)
-        c = {s: n for s, n in seen.get(context, {}).items() if s not in excluded}
-        rest = context[1:] if context else None
-        if not c:
-            return chance(rest, symbol, excluded)
-        open_to = set(range(size)) - excluded - set(c)
-        escape = len(c) / (sum(c.values()) + len(c)) if open_to else 0
-        return (1 - escape) * c[symbol] / sum(c.values()) if symbol in c else escape * chance(rest, symbol, excluded | set(c))
-
-    for number in range(size**language_id.ORDER):
-        context = tuple(int(x) for x in np.base_repr(number, size).zfill(language_id.ORDER))
-        total = sum(2.0 ** -lengths[number])
-        assert total == pytest.approx(1, abs=0.02)
-        if context in seen:  # the longest context is exact; below it, exclusion is renormalised
-            for s in seen[context]:
-                assert 2.0 ** -lengths[number][s] == pytest.approx(chance(context, s), rel=0.02)
+            return 1 / language_id.ALPHABET
+        shorter = context[1:] if context else None
+        c = self.seen.get(context)
+        if c is None:
+            return self.chance(shorter, symbol)
+        held = sum(c.values()) + len(c)
+        return c[symbol] / held if symbol in c else len(c) / held * self.chance(shorter, symbol) / (1 - sum(self.chance(shorter, s) for s in c))
+
+    def bits(self, text):
+        return -sum(np.log2(self.chance(self.before(text, k), s)) for k, s in enumerate(text))
+
+
+@pytest.mark.parametrize("order", [0, 1, 3, 4])
+def test_code_lengths_are_those_of_matching_with_escapes(monkeypatch, order):
+    monkeypatch.setattr(language_id, "BLOCK", 11)  # texts end within blocks and go on in the next
+    monkeypatch.setattr(language_id, "KEPT", 20)
+    learned = [b"the cat and the hat", "schön und gut".encode(), b"", b"banana", b"abracadabra " * 3]
+    asked = [*learned, b"that bandana, ABRA", "zwölf Boxkämpfer привет".encode(), b"", b"q"]
+    symbols = lambda t: t.translate(language_id.SYMBOLS)
+    known = Contexts([symbols(t) for t in learned], order)
+    runs = np.concatenate([r for r, _, _ in language_id.runs_of(learned, order)])
+    tree = language_id.Tree(*np.unique(runs, return_counts=True), order)
+    got = language_id.Scorer([tree, tree]).bits_of(asked)
+    assert got == pytest.approx(np.array([[known.bits(symbols(t))] * 2 for t in asked]), rel=1e-9)
+    assert sum(known.chance(known.before(symbols(b"the ca"), 6), s) for s in range(language_id.ALPHABET)) == pytest.approx(1)
+
+
+def test_languages_are_the_shortest_codes(spark):
+    """The prediction by brute force over the short texts of the smallest table."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [x for x in docs.collect() if x.text and len(x.text) <= 400]
+    learned = {}
+    for x in rows:
+        if zlib.crc32(str(x.doc_id).encode()) % 3 != 1 and x.lang is not None:
+            learned.setdefault(x.lang, []).append(x.text.encode().translate(language_id.SYMBOLS))
+    trees = {lang: Contexts(texts, 2) for lang, texts in learned.items()}
+    got = {x.doc_id: x.lang_pred for x in language_id.identify(spark.createDataFrame(rows, docs.schema), order=2).collect()}
+    for x in rows[:15]:
+        bits = {lang: t.bits(x.text.encode().translate(language_id.SYMBOLS)) for lang, t in trees.items()}
+        assert got[x.doc_id] == (min(sorted(bits), key=bits.get) if any(c.isalpha() for c in x.text) else "und")
 
 
 # 2 mixing
