@@ -6,8 +6,11 @@ The Burrows-Wheeler text goes into a wavelet matrix, whose ranks serve two walks
 benchmark windows at once, and the way from each match back to a sampled suffix position.  Matches mark word
 spans of the document; spans that overlap or touch are merged.
 
-The benchmark is sent in blocks of bounded size, each to all documents, so it may be of any size.  A document
-longer than a shard is cut into pieces that overlap by a window less one word.
+The benchmark is sent in blocks of bounded size, each to all documents, so it may be of any size.  A block's windows are runs of numbers of
+its own vocabulary, sorted by a hash of the run.  Runs of a shard with the same hash choose the windows that its index is searched
+for, and a shard without any is not indexed; the search itself compares words, so a chance hit of hashes finds nothing.  A worker builds
+a block once and keeps up to ``KEPT`` of them.  A document longer than a shard is cut into pieces that overlap by a window less one
+word.
 
 Null text has no words: n_words 0, nothing hit.  Items without words are no windows.  Equal windows of several
 items count for each of them, repeated item_ids once.  Repeated documents are each reported.  An empty benchmark
@@ -17,10 +20,12 @@ hits nothing; empty documents give an empty result.  Extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,14 +40,31 @@ def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(TRANSLATE).split()
 
 
-def windows_of(items: list[tuple[str, bytes | None]], window: int) -> dict[tuple[bytes, ...], list[str]]:
-    """Each window of words with the ids of the items that hold it."""
-    found: dict[tuple[bytes, ...], list[str]] = {}
-    for item, text in items:
-        words = words_of(text)
-        for w in {tuple(words[i : i + window]) for i in range(max(1, len(words) - window + 1))} if words else ():
-            found.setdefault(w, []).append(item)
-    return found
+def words_in(texts: list[bytes | None]) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, one after another, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pa.array([(t or b"").translate(TRANSLATE).strip() for t in texts], pa.large_binary()).cast(pa.large_string()))
+    counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64) if len(lists) else np.zeros(0, np.int64)
+    flat = lists.flatten()
+    filled = pc.not_equal(flat, "")
+    empty = ~filled.to_numpy(zero_copy_only=False)
+    if empty.any():  # a text without words splits into one empty string
+        counts[np.repeat(np.arange(len(counts)), counts)[empty]] = 0
+        flat = flat.filter(filled)
+    return flat, counts
+
+
+def multipliers(window: int) -> np.ndarray:
+    return np.random.default_rng(20240607).integers(1, 1 << 63, window, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def run_hashes(ids: np.ndarray, length: int, factors: np.ndarray) -> np.ndarray:
+    """A hash of each run of ``length`` numbers."""
+    m = len(ids) - length + 1
+    out = np.zeros(max(m, 0), np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(length if m > 0 else 0):
+            out += ids[k : k + m].astype(np.uint64) * factors[k]
+    return out
 
 
 def suffix_array(ranks: np.ndarray) -> np.ndarray:
@@ -162,136 +184,190 @@ class FMIndex:
 
 
 class Shard:
-    """Pieces of documents, a gap after each, with an index that is built when first needed."""
-
-    def __init__(self, pieces: list[list[bytes]]):
-        self.ids: dict[bytes, int] = {}
-        for words in pieces:
-            for w in words:
-                if w not in self.ids:
-                    self.ids[w] = len(self.ids) + 1
-        self.pieces = pieces
+    """Pieces (first word, number of words) of a text of word numbers, a gap after each, with an index that is built when first needed."""
+
+    def __init__(self, ids: np.ndarray, pieces: list[tuple[int, int]]):
+        self.ids, self.pieces = ids, pieces
+        self.starts = np.concatenate([[0], np.cumsum([n + 1 for _, n in pieces])])
         self.index: FMIndex | None = None
 
     def built(self) -> FMIndex:
         if self.index is None:
-            symbols: list[int] = []
-            for words in self.pieces:
-                symbols.extend(map(self.ids.__getitem__, words))
-                symbols.append(0)
-            self.index = FMIndex(np.array(symbols, np.int64))
+            symbols = np.zeros(self.starts[-1], np.int64)
+            inside = np.ones(len(symbols), bool)
+            inside[self.starts[1:] - 1] = False
+            words = np.concatenate([self.ids[at : at + n] for at, n in self.pieces])
+            self.words, own = np.unique(words, return_inverse=True)
+            symbols[inside] = own + 1
+            self.index = FMIndex(symbols)
         return self.index
 
-    def matches(self, by_length: dict[int, tuple[list[tuple[bytes, ...]], np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-        """For each window length: numbers of windows and the positions (over all pieces and gaps) where they occur."""
-        ids = self.ids
-        for length, (windows, numbers) in by_length.items():
-            known = [k for k, w in enumerate(windows) if all(x in ids for x in w)]
-            if not known:
+    def matches(self, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(pattern, piece, place in the piece) of all that occurs of ``patterns``, rows of word numbers."""
+        index = self.built()
+        at = np.minimum(np.searchsorted(self.words, patterns), len(self.words) - 1)
+        known = np.flatnonzero((self.words[at] == patterns).all(axis=1))
+        who, low, high = index.search(at[known] + 1) if len(known) else (known, known, known)
+        sizes = high - low
+        rows = np.repeat(low - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum()) if len(who) else np.zeros(0, np.int64)
+        where = index.locate(rows.astype(np.int64))
+        piece = np.searchsorted(self.starts, where, "right") - 1
+        return known[np.repeat(who, sizes)], piece, where - self.starts[piece]
+
+
+class Block:
+    """A block of the benchmark: its distinct windows by length, each with the items that hold it."""
+
+    def __init__(self, items: list[tuple[str, bytes | None]], window: int):
+        self.names = [name for name, _ in items]
+        flat, counts = words_in([text for _, text in items])
+        coded = flat.dictionary_encode()
+        self.vocabulary, self.ids = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        self.factors = multipliers(window)
+        first = np.cumsum(counts) - counts
+        #: length: (hash of each window, ascending; where its words stand; where its items start; item numbers)
+        self.by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
+        for length in np.unique(np.minimum(counts[counts > 0], window)).tolist():
+            held = np.flatnonzero(counts == length if length < window else counts >= window)
+            per = counts[held] - length + 1
+            owner = np.repeat(held, per)
+            at = np.repeat(first[held] - (np.cumsum(per) - per), per) + np.arange(per.sum())
+            key = run_hashes(self.ids, length, self.factors)[at]
+            order = np.argsort(key, kind="stable")
+            owner, at, key = owner[order], at[order], key[order]
+            new = np.ones(len(at), bool)
+            new[1:] = key[1:] != key[:-1]
+            alike = np.flatnonzero(~new)
+            new[alike] = (self.ids[at[alike][:, None] + np.arange(length)] != self.ids[at[alike - 1][:, None] + np.arange(length)]).any(axis=1)
+            starts = np.flatnonzero(new)
+            self.by_length[length] = (key[starts], at[starts], np.append(starts, len(at)), owner)
+
+    def numbers(self, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """For each of ``vocabulary`` its number here, 0 if it has none; and for each number here the place in ``vocabulary``, -1 if none."""
+        own = pc.index_in(vocabulary, value_set=self.vocabulary).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        back = np.full(len(self.vocabulary) + 1, -1, np.int64)
+        back[own] = np.arange(len(own))
+        back[0] = -1
+        return own, back
+
+    def candidates(self, ids: np.ndarray, doc: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(length, where a run of ``ids`` has the hash of a window, the window's number), within one text each."""
+        unknown = np.concatenate([[0], np.cumsum(ids == 0)])
+        for length, (key, _, _, _) in self.by_length.items():
+            m = len(ids) - length + 1
+            if m <= 0:
                 continue
-            who, low, high = self.built().search(np.array([[ids[x] for x in windows[k]] for k in known], np.int64))
-            if len(who):
-                sizes = high - low
-                rows = np.repeat(low - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
-                yield numbers[np.array(known)[np.repeat(who, sizes)]], self.built().locate(rows), length
-
-
-class Windows:
-    """A block of the benchmark, its windows by length."""
-
-    def __init__(self, benchmark: list[tuple[str, bytes | None]], window: int):
-        found = windows_of(benchmark, window)
-        self.items_of = list(found.values())
-        by_length: dict[int, tuple[list[tuple[bytes, ...]], list[int]]] = {}
-        for k, w in enumerate(found):
-            held = by_length.setdefault(len(w), ([], []))
-            held[0].append(w)
-            held[1].append(k)
-        self.by_length = {n: (w, np.array(k)) for n, (w, k) in by_length.items()}
-
-
-def blocks_of(sent: list) -> Iterator[list[tuple[str, bytes | None]]]:
-    """The broadcast blocks one after another; if there are several, none is kept."""
-    for b in sent:
-        yield b.load_from_path(b._path) if len(sent) > 1 and getattr(b, "_path", None) else b.value
-
-
-def scan_shard(docs: list[list[bytes]], blocks: Iterator[Windows], window: int, shard_words: int) -> list[tuple[int, list[str], list[tuple[int, int]]]]:
-    """For each document: words hit, item ids, merged spans."""
-    pieces, owner, offset = [], [], []
-    for d, words in enumerate(docs):
-        for at in range(0, max(1, len(words) - window + 1), shard_words):
-            pieces.append(words[at : at + shard_words + window - 1])
-            owner.append(d)
-            offset.append(at)
-    starts = np.concatenate([[0], np.cumsum([len(p) + 1 for p in pieces])])
-    shards = [(starts[g[0]], Shard([pieces[k] for k in g])) for g in grouped(pieces, shard_words)]
+            at = np.flatnonzero((unknown[length:] == unknown[:m]) & (doc[length - 1 :] == doc[:m]))
+            own = run_hashes(ids, length, self.factors)[at]
+            low, high = np.searchsorted(key, own, "left"), np.searchsorted(key, own, "right")
+            while (hit := low < high).any():  # of several windows with one hash each is tried
+                yield length, at[hit], low[hit]
+                low = low + 1
+
+
+#: Blocks that a worker keeps, by the benchmark they are of and their number.
+BUILT: dict[tuple[str, int], Block] = {}
+KEPT = 16
+
+
+def blocks_of(sent: list, key: str, window: int) -> Iterator[Block]:
+    """The broadcast blocks one after another, built; if there are several, what was sent is not kept beside them."""
+    for k, b in enumerate(sent):
+        block = BUILT.get((key, k))
+        if block is None:
+            block = Block(b.load_from_path(b._path) if len(sent) > 1 and getattr(b, "_path", None) else b.value, window)
+            for old in [o for o in BUILT if o[0] != key]:
+                del BUILT[old]
+            if len(BUILT) < KEPT:
+                BUILT[key, k] = block
+        yield block
+
+
+def scan_texts(texts: list[bytes | None], blocks: Iterator[Block], window: int, shard_words: int) -> list[tuple[int, int, list[str], list[tuple[int, int]]]]:
+    """For each text: its words, words hit, item ids, merged spans."""
+    flat, counts = words_in(texts)
+    coded = flat.dictionary_encode()
+    ids, first = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), np.cumsum(counts) - counts
+    pieces = [(d, at, min(n - at, shard_words + window - 1)) for d, n in enumerate(counts.tolist()) if n for at in range(0, max(1, n - window + 1), shard_words)]
+    begins = np.array([first[d] + at for d, at, _ in pieces], np.int64)
+    groups = list(grouped([n for _, _, n in pieces], shard_words))
+    shards = [Shard(ids, [(int(begins[k]), pieces[k][2]) for k in g]) for g in groups]
+    shard_of = np.repeat(np.arange(len(groups)), [len(g) for g in groups])
+    owner, offset = (np.array([p[i] for p in pieces], np.int64) for i in (0, 1))
+    doc = np.repeat(np.arange(len(counts)), counts)
     covers: dict[int, np.ndarray] = {}
     names: dict[int, set[str]] = {}
-    for block in blocks:
-        for start, shard in shards:
-            for numbers, where, length in shard.matches(block.by_length):
-                where = where + start
-                piece = np.searchsorted(starts, where, "right") - 1
-                doc, place = np.array(owner)[piece], where - starts[piece] + np.array(offset)[piece]
-                by = np.argsort(doc, kind="stable")
-                for part in np.split(by, np.flatnonzero(np.diff(doc[by])) + 1):
-                    d = int(doc[part[0]])
-                    cover = covers.setdefault(d, np.zeros(len(docs[d]) + 1, np.int64))
+    for block in blocks if len(ids) else ():
+        own, back = block.numbers(coded.dictionary)
+        for length, at, number in block.candidates(own[ids], doc):
+            _, stands, item_starts, items = block.by_length[length]
+            wanted = np.unique(np.stack([shard_of[np.searchsorted(begins, at, "right") - 1], number]), axis=1)
+            for s in np.unique(wanted[0]).tolist():
+                windows = wanted[1][wanted[0] == s]
+                who, piece, place = shards[s].matches(back[block.ids[stands[windows][:, None] + np.arange(length)]])
+                piece = piece + groups[s].start
+                hit_doc, place = owner[piece], place + offset[piece]
+                by = np.argsort(hit_doc, kind="stable")
+                for part in np.split(by, np.flatnonzero(np.diff(hit_doc[by])) + 1) if len(by) else ():
+                    d = int(hit_doc[part[0]])
+                    cover = covers.setdefault(d, np.zeros(counts[d] + 1, np.int64))
                     np.add.at(cover, place[part], 1)
                     np.add.at(cover, place[part] + length, -1)
-                    names.setdefault(d, set()).update(i for k in np.unique(numbers[part]) for i in block.items_of[k])
-    out: list[tuple[int, list[str], list[tuple[int, int]]]] = []
-    for d in range(len(docs)):
+                    for w in windows[np.unique(who[part])].tolist():
+                        names.setdefault(d, set()).update(block.names[i] for i in items[item_starts[w] : item_starts[w + 1]])
+    out: list[tuple[int, int, list[str], list[tuple[int, int]]]] = []
+    for d, n in enumerate(counts.tolist()):
         if d not in covers:
-            out.append((0, [], []))
+            out.append((n, 0, [], []))
             continue
         edge = np.diff(np.concatenate([[0], np.cumsum(covers[d]) > 0]).astype(np.int8))
-        first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        out.append((int((last - first).sum()), sorted(names[d]), list(zip(first.tolist(), last.tolist(), strict=True))))
+        begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        out.append((n, int((end - begin).sum()), sorted(names[d]), list(zip(begin.tolist(), end.tolist(), strict=True))))
     return out
 
 
-def scan(sent: list, window: int, shard_words: int, at: int, finish):
+def scan(sent: list, window: int, shard_words: int, held_bytes: int, at: int, finish):
     """A mapInArrow function over rows whose column number ``at`` is the text; ``sent``: broadcast blocks of the benchmark.
 
-    ``finish`` makes the output of a shard's rows from them, their words, what was found and a function that searches again.
+    Rows of ``held_bytes`` of text, or one longer, are held for one pass over the blocks.  ``finish`` makes their output from the rows, their
+    texts and a function that searches texts.
     """
+    key = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        single = [Windows(sent[0].value, window)] if len(sent) == 1 else None
+        def search(texts: list[bytes | None]) -> list[tuple[int, int, list[str], list[tuple[int, int]]]]:
+            return scan_texts(texts, blocks_of(sent, key, window), window, shard_words)
 
-        def search(docs: list[list[bytes]]) -> list[tuple[int, list[str], list[tuple[int, int]]]]:
-            return scan_shard(docs, iter(single) if single else (Windows(b, window) for b in blocks_of(sent)), window, shard_words)
+        def done(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rows = pa.Table.from_batches(held)
+            yield from finish(rows, [t for c in rows.column(at).chunks for t in c.cast(pa.binary()).to_pylist()], search).to_batches()
 
-        held, docs, size = [], [], 0
+        held, size = [], 0
         for batch in batches:
             first = 0
-            for k, text in enumerate(batch.column(at).cast(pa.binary())):
-                words = words_of(text.as_py())
-                if docs and size + len(words) > shard_words:
+            for k, n in enumerate(pc.binary_length(batch.column(at)).fill_null(0).to_pylist()):
+                if size and size + n > held_bytes:
                     held.append(batch.slice(first, k - first))
-                    yield finish(pa.Table.from_batches(held), docs, search)
-                    held, docs, size, first = [], [], 0, k
-                docs.append(words)
-                size += len(words)
+                    yield from done(held)
+                    held, size, first = [], 0, k
+                size += n
             held.append(batch.slice(first))
-        if docs:
-            yield finish(pa.Table.from_batches(held), docs, search)
+        if held:
+            yield from done(held)
 
-    return lambda batches: (b for table in run(batches) for b in table.to_batches())
+    return run
 
 
-def grouped(pieces: list[list[bytes]], shard_words: int) -> Iterator[range]:
+def grouped(lengths: list[int], shard_words: int) -> Iterator[range]:
     """Runs of pieces that make a shard of at most twice ``shard_words``."""
     start, size = 0, 0
-    for k, p in enumerate(pieces):
-        if size and size + len(p) > 2 * shard_words:
+    for k, n in enumerate(lengths):
+        if size and size + n > 2 * shard_words:
             yield range(start, k)
             start, size = k, 0
-        size += len(p)
-    if pieces:
-        yield range(start, len(pieces))
+        size += n
+    if lengths:
+        yield range(start, len(lengths))
 
 
 def sent_blocks(benchmark: DataFrame, block_bytes: int) -> list:
@@ -306,26 +382,26 @@ def sent_blocks(benchmark: DataFrame, block_bytes: int) -> list:
     return sent
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_words: int = 200_000, block_bytes: int = 32 << 20) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_words: int = 200_000, block_bytes: int = 2 << 20, held_bytes: int = 8 << 20) -> DataFrame:
     """doc_id, n_words, n_hit, items (sorted strings), spans of words, for each row of ``docs`` (doc_id, text).
 
-    Each shard is indexed once and searched for one block of the benchmark after another.
+    Each shard is indexed at most once and searched for one block of the benchmark after another.
     """
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
-    def finish(rows: pa.Table, docs: list[list[bytes]], search) -> pa.Table:
-        found = search(docs)
+    def finish(rows: pa.Table, texts: list[bytes | None], search) -> pa.Table:
+        found = search(texts)
         columns = [
-            rows.column(0).combine_chunks(), pa.array([len(w) for w in docs], pa.int64()), pa.array([r[0] for r in found], pa.int64()),
-            pa.array([r[1] for r in found], pa.list_(pa.string())), pa.array([[{"start": a, "end": b} for a, b in r[2]] for r in found], span),
+            rows.column(0), pa.array([r[0] for r in found], pa.int64()), pa.array([r[1] for r in found], pa.int64()),
+            pa.array([r[2] for r in found], pa.list_(pa.string())), pa.array([[{"start": a, "end": b} for a, b in r[3]] for r in found], span),
         ]
         return pa.table(columns, names=["doc_id", "n_words", "n_hit", "items", "spans"])
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return source.mapInArrow(scan(sent_blocks(benchmark, block_bytes), window, shard_words, 1, finish), SCHEMA)
+    return source.mapInArrow(scan(sent_blocks(benchmark, block_bytes), window, shard_words, held_bytes, 1, finish), SCHEMA)
 
 
-def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_words: int = 200_000, block_bytes: int = 32 << 20) -> DataFrame:
+def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_words: int = 200_000, block_bytes: int = 2 << 20, held_bytes: int = 8 << 20) -> DataFrame:
     """The rows of ``docs``, with all their columns, less the merged spans of words that windows of ``benchmark`` hit.
 
     A text whose remains meet in a new window is searched again, until none is left.  n_chars, if there, follows.  A row
@@ -333,19 +409,19 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_
     """
     at, names = docs.columns.index("text"), docs.columns
 
-    def finish(rows: pa.Table, docs: list[list[bytes]], search) -> pa.Table:
-        open_at = [(k, r[2]) for k, r in enumerate(search(docs)) if r[0]]
+    def finish(rows: pa.Table, raw: list[bytes | None], search) -> pa.Table:
+        open_at = [(k, r[3]) for k, r in enumerate(search(raw)) if r[1]]
         if not open_at:
             return rows
-        texts, kept = rows.column(at).to_pylist(), [True] * len(docs)
+        texts, kept = rows.column(at).to_pylist(), [True] * len(raw)
         changed: set[int] = set()
         while open_at:
             for k, spans in open_at:
                 texts[k] = without_spans(texts[k], spans)
                 changed.add(k)
             again = [k for k, _ in open_at]
-            found = search([words_of(texts[k].encode()) for k in again])
-            open_at = [(k, r[2]) for k, r in zip(again, found, strict=True) if r[0]]
+            found = search([texts[k].encode() for k in again])
+            open_at = [(k, r[3]) for k, r in zip(again, found, strict=True) if r[1]]
         for k in changed:
             kept[k] = bool(words_of(texts[k].encode()))
         out = rows.set_column(at, rows.schema.field(at), pa.array(texts, rows.schema.field(at).type))
@@ -355,7 +431,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_
             out = out.set_column(c, rows.schema.field(c), pa.array(chars, rows.schema.field(c).type))
         return out.filter(pa.array(kept, pa.bool_()))
 
-    return docs.mapInArrow(scan(sent_blocks(benchmark, block_bytes), window, shard_words, at, finish), docs.schema)
+    return docs.mapInArrow(scan(sent_blocks(benchmark, block_bytes), window, shard_words, held_bytes, at, finish), docs.schema)
 
 
 def report(found: DataFrame) -> DataFrame:

@@ -337,10 +337,21 @@ def leaks(rows):
 @pytest.mark.parametrize("shard_words, block_bytes", [(200_000, 1 << 25), (64, 40)])
 def test_decontamination(spark, leaks, shard_words, block_bytes):
     docs, items = leaks
-    got = decontamination.decontaminate(spark.createDataFrame(docs, "doc_id long, text string").coalesce(2), spark.createDataFrame(items, "item_id long, text string"), shard_words=shard_words, block_bytes=block_bytes)
+    got = decontamination.decontaminate(spark.createDataFrame(docs, "doc_id long, text string").coalesce(2), spark.createDataFrame(items, "item_id long, text string"), shard_words=shard_words, block_bytes=block_bytes, held_bytes=20 * shard_words)
     assert rows_of(decontamination.report(got)) == sorted(brute_hits(docs, items), key=str)
 
 
+@pytest.mark.parametrize("shard_words", [15, 500])
+def test_decontamination_does_not_rest_on_hashes(monkeypatch, leaks, shard_words):
+    monkeypatch.setattr(decontamination, "multipliers", lambda n: np.zeros(n, np.uint64))  # all runs have one hash
+    r = random.Random(8)
+    items = [(k, " ".join(r.choice("abc") for _ in range(r.randint(1, 7)))) for k in range(12)]
+    docs = [(k, " ".join(r.choice("abcd") for _ in range(r.choice((0, 1, 3, 60))))) for k in range(30)]
+    block = decontamination.Block([(str(k), t.encode()) for k, t in items], 4)
+    got = decontamination.scan_texts([t.encode() for _, t in docs], iter([block]), 4, shard_words)
+    assert [(k, g[0], g[1], len(g[2]), decontamination.digest(g[2]), g[1] > 0) for (k, _), g in zip(docs, got, strict=True)] == brute_hits(docs, items, 4)
+
+
 def test_spans_are_removed_until_none_is_left(spark):
     item = " ".join(f"w{k}" for k in range(10))
     docs = [(1, f"keep {item}, keep", 0, "x"), (2, f"w0 w1 w2 w3 w4 {item} w5 w6 w7 w8 w9 end", 0, "x"), (3, item, 0, "x"), (4, None, 0, "x"), (5, "clean Text", 99, "x")]
