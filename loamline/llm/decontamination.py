@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -57,13 +58,17 @@ def multipliers(window: int) -> np.ndarray:
     return np.random.default_rng(20240607).integers(1, 1 << 63, window, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def run_hashes(ids: np.ndarray, length: int, factors: np.ndarray) -> np.ndarray:
-    """A hash of each run of ``length`` numbers."""
-    m = len(ids) - length + 1
+def word_hashes(words: pa.Array) -> np.ndarray:
+    return np.array([zlib.crc32(w) for w in words.cast(pa.large_binary()).to_pylist()], np.uint64)
+
+
+def run_hashes(hashes: np.ndarray, length: int, factors: np.ndarray) -> np.ndarray:
+    """A hash of each run of ``length`` words."""
+    m = len(hashes) - length + 1
     out = np.zeros(max(m, 0), np.uint64)
     with np.errstate(over="ignore"):
         for k in range(length if m > 0 else 0):
-            out += ids[k : k + m].astype(np.uint64) * factors[k]
+            out += hashes[k : k + m] * factors[k]
     return out
 
 
@@ -223,7 +228,7 @@ class Block:
         flat, counts = words_in([text for _, text in items])
         coded = flat.dictionary_encode()
         self.vocabulary, self.ids = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
-        self.factors = multipliers(window)
+        hashes = np.append(np.uint64(0), word_hashes(self.vocabulary))[self.ids]
         first = np.cumsum(counts) - counts
         #: length: (hash of each window, ascending; where its words stand; where its items start; item numbers)
         self.by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
@@ -232,7 +237,7 @@ class Block:
             per = counts[held] - length + 1
             owner = np.repeat(held, per)
             at = np.repeat(first[held] - (np.cumsum(per) - per), per) + np.arange(per.sum())
-            key = run_hashes(self.ids, length, self.factors)[at]
+            key = run_hashes(hashes, length, multipliers(window))[at]
             order = np.argsort(key, kind="stable")
             owner, at, key = owner[order], at[order], key[order]
             new = np.ones(len(at), bool)
@@ -242,27 +247,35 @@ class Block:
             starts = np.flatnonzero(new)
             self.by_length[length] = (key[starts], at[starts], np.append(starts, len(at)), owner)
 
-    def numbers(self, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """For each of ``vocabulary`` its number here, 0 if it has none; and for each number here the place in ``vocabulary``, -1 if none."""
-        own = pc.index_in(vocabulary, value_set=self.vocabulary).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64) + 1
-        back = np.full(len(self.vocabulary) + 1, -1, np.int64)
-        back[own] = np.arange(len(own))
-        back[0] = -1
-        return own, back
-
-    def candidates(self, ids: np.ndarray, doc: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(length, where a run of ``ids`` has the hash of a window, the window's number), within one text each."""
-        unknown = np.concatenate([[0], np.cumsum(ids == 0)])
-        for length, (key, _, _, _) in self.by_length.items():
-            m = len(ids) - length + 1
-            if m <= 0:
-                continue
-            at = np.flatnonzero((unknown[length:] == unknown[:m]) & (doc[length - 1 :] == doc[:m]))
-            own = run_hashes(ids, length, self.factors)[at]
-            low, high = np.searchsorted(key, own, "left"), np.searchsorted(key, own, "right")
-            while (hit := low < high).any():  # of several windows with one hash each is tried
-                yield length, at[hit], low[hit]
-                low = low + 1
+    def places_in(self, vocabulary: pa.Array) -> np.ndarray:
+        """For each number of the block its word's place in ``vocabulary``, -1 if it is not there; number 0 is none."""
+        return np.append(-1, pc.index_in(self.vocabulary, value_set=vocabulary).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64))
+
+
+class Runs:
+    """The runs of words within texts, sorted by hash for each length that is asked for."""
+
+    def __init__(self, hashes: np.ndarray, doc: np.ndarray, factors: np.ndarray):
+        self.hashes, self.doc, self.factors = hashes, doc, factors
+        self.sorted: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def of(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """(hashes, ascending; where each run starts)"""
+        if length not in self.sorted:
+            at = np.flatnonzero(self.doc[length - 1 :] == self.doc[: len(self.doc) - length + 1]) if len(self.doc) >= length else np.zeros(0, np.int64)
+            own = run_hashes(self.hashes, length, self.factors)[at]
+            order = np.argsort(own)
+            self.sorted[length] = own[order], at[order]
+        return self.sorted[length]
+
+    def equal(self, length: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(number of a key, where a run has its hash)"""
+        own, at = self.of(length)
+        low, high = np.searchsorted(own, keys, "left"), np.searchsorted(own, keys, "right")
+        hit = np.flatnonzero(low < high)
+        sizes = (high - low)[hit]
+        inner = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        return np.repeat(hit, sizes), at[np.repeat(low[hit], sizes) + inner]
 
 
 #: Blocks that a worker keeps, by the benchmark they are of and their number.
@@ -297,14 +310,18 @@ def scan_texts(texts: list[bytes | None], blocks: Iterator[Block], window: int,
     doc = np.repeat(np.arange(len(counts)), counts)
     covers: dict[int, np.ndarray] = {}
     names: dict[int, set[str]] = {}
+    runs = Runs(word_hashes(coded.dictionary)[ids], doc, multipliers(window))
     for block in blocks if len(ids) else ():
-        own, back = block.numbers(coded.dictionary)
-        for length, at, number in block.candidates(own[ids], doc):
-            _, stands, item_starts, items = block.by_length[length]
+        places = None
+        for length, (keys, stands, item_starts, items) in block.by_length.items():
+            number, at = runs.equal(length, keys)
+            if not len(at):
+                continue
+            places = block.places_in(coded.dictionary) if places is None else places
             wanted = np.unique(np.stack([shard_of[np.searchsorted(begins, at, "right") - 1], number]), axis=1)
             for s in np.unique(wanted[0]).tolist():
                 windows = wanted[1][wanted[0] == s]
-                who, piece, place = shards[s].matches(back[block.ids[stands[windows][:, None] + np.arange(length)]])
+                who, piece, place = shards[s].matches(places[block.ids[stands[windows][:, None] + np.arange(length)]])
                 piece = piece + groups[s].start
                 hit_doc, place = owner[piece], place + offset[piece]
                 by = np.argsort(hit_doc, kind="stable")
