@@ -4,17 +4,19 @@ Targets.  Sources share ``share`` of all words by weight; none is taken more tha
 that leaves over goes to the others by weight.  Sorted by the level at which each source is full, this is one running
 sum.  A target is rounded to whole words.
 
-Draw.  A source's documents lie in a permuted order (by keyed hash), another for each pass, and the mix takes the
-first ``target`` words of that stream: whole passes, then documents up to the last, which is taken in part.
-The position of a document is a sum over hash buckets plus a sum within its bucket, so no task holds a source.
+Blocks.  A source's documents lie in an order permuted by a keyed hash, cut into blocks of about equal numbers of words at document
+bounds.  The position of a document is a sum over hash buckets plus a sum within its bucket, so no task holds a source.
+Blocks of a source are drawn without replacement, in a permuted order, another in each pass; every block is drawn once before any is
+drawn again.  Draws go on up to the target, so the last block drawn is taken in part.
 
-Blocks.  The stream is cut into blocks of equal numbers of words.  A splitting tree halves the output shards again and
-again: at each node every source's block quota is divided by drawing without replacement, so that both sides get their
-exact number of blocks and the composition follows the multivariate hypergeometric law.  A source's blocks are
-permuted and dealt to the shards by these quotas, and each shard's rows have a local shuffle key.
+Quotas.  What a source's draws come to is its exact quota of blocks.  A splitting tree halves the output shards again and
+again: at each node every source's quota is divided by drawing without replacement, so that both sides get their
+exact number of blocks and the composition follows the multivariate hypergeometric law.  Drawn blocks, permuted once more, are dealt to the
+shards by these quotas.  A document is taken as its block was dealt, and in no other way; each shard's rows have a local shuffle key.
 
 Null text has size 0 and takes nothing.  Null sources are a source of their own, last in order.  Repeated rows are
-rows of their own.  An empty table, or one without words, takes nothing.  Extra columns are ignored.
+rows of their own.  An empty table, or one without words, takes nothing.  Extra columns are ignored.  Sources are few against documents: one
+row for each, and one for each of the blocks, go through one window.
 """
 
 from __future__ import annotations
@@ -58,51 +60,49 @@ def random_key(*parts: Column) -> Column:
     return F.md5(F.concat_ws(":", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]).cast("binary"))
 
 
-def positions(rows: DataFrame, pass_no: int, seed: int, buckets: int) -> DataFrame:
-    """Adds ``at{pass_no}``: the words that stand before a row in its source's permuted order.
+def positions(rows: DataFrame, seed: int, buckets: int) -> DataFrame:
+    """Adds ``at``: the words that stand before a row (doc_id, digest, source, size) in its source's permuted order.
 
     A bucket is a range of the random key, so rows in order of (bucket, key) are in order of the key.
     """
-    key, bucket, name = f"h{pass_no}", f"b{pass_no}", f"at{pass_no}"
-    rows = rows.withColumn(key, random_key(F.lit(seed), F.lit(pass_no), F.col("doc_id")))
-    rows = rows.withColumn(bucket, F.shiftright(F.conv(F.substring(key, 1, 8), 16, 10).cast("long") * F.lit(buckets), 32).cast("int"))
-    sums = rows.groupBy("source", bucket).agg(F.sum("size").alias("in_bucket"))
-    before = Window.partitionBy("source").orderBy(bucket)
-    sums = sums.select("source", bucket, (F.sum("in_bucket").over(before) - F.col("in_bucket")).alias("bucket_from"))
-    within = Window.partitionBy("source", bucket).orderBy(key, "doc_id", "size", "crc").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("key", random_key(F.lit(seed), F.col("doc_id"), F.col("digest"))).drop("digest")
+    rows = rows.withColumn("bucket", F.shiftright(F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * F.lit(buckets), 32).cast("int"))
+    sums = rows.groupBy("source", "bucket").agg(F.sum("size").alias("in_bucket"))
+    before = Window.partitionBy("source").orderBy("bucket")
+    sums = sums.select("source", "bucket", (F.sum("in_bucket").over(before) - F.col("in_bucket")).alias("bucket_from"))
+    within = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = rows.withColumn("upto", F.sum("size").over(within)).alias("r")
-    joined = ranked.join(sums.alias("s"), F.col("r.source").eqNullSafe(F.col("s.source")) & (F.col(f"r.{bucket}") == F.col(f"s.{bucket}")))
-    return joined.select("r.*", "s.bucket_from").withColumn(name, F.col("bucket_from") + F.col("upto") - F.col("size")).drop(key, bucket, "upto", "bucket_from")
+    joined = ranked.join(sums.alias("s"), F.col("r.source").eqNullSafe(F.col("s.source")) & (F.col("r.bucket") == F.col("s.bucket")))
+    return joined.select("r.doc_id", "r.source", "r.size", (F.col("s.bucket_from") + F.col("r.upto") - F.col("r.size")).alias("at"))
 
 
-def within_target(start: Column) -> Column:
-    """Words of a row that begins at ``start`` and that lie below the target."""
-    return F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("words") - start))
+def mix(docs: DataFrame, shards: int = 8, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: float = 1.5, most: int = 2, seed: int = 20240607, blocks: int = 4096, buckets: int | None = None) -> DataFrame:
+    """doc_id, size, source_size, target, taken, and for each pass ``take0``.. (words) and ``shard0``.. (null if it takes nothing).
 
-
-def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: float = 1.5, most: int = 2, seed: int = 20240607, buckets: int | None = None) -> DataFrame:
-    """doc_id, crc, size, source_size, target, words (the target in whole words), taken, and ``take0``.. (words of each pass) with the
-    stream positions ``at0``..
-
-    One row for each row of ``docs`` (doc_id, text, source).
+    One row for each row of ``docs`` (doc_id, text, source).  The sources are cut into about ``blocks`` blocks in all, one more for each source at
+    most.
     """
-    text = F.col("text").cast("string")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-        plain_word_count(text).alias("size"), F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("crc"),
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), plain_word_count(text).alias("size"), F.md5(text.cast("binary")).alias("digest"),
     )
     rows = materialize(rows, "sizes")
     if buckets is None:
         buckets = max(256, rows.count() // 50_000)
     # The shares of sources are few rows; they are written so that nothing below counts them again.
-    aims = materialize(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, float(most)), "targets")
-    aims = aims.withColumn("words", F.round("target").cast("long"))
-    for k in range(most):
-        rows = positions(rows, k, seed, buckets)
-    rows = rows.alias("r").join(aims.alias("a"), F.col("r.source").eqNullSafe(F.col("a.source"))).select("r.*", "a.source_size", "a.target", "a.words")
-    for k in range(most):
-        rows = rows.withColumn(f"take{k}", within_target(F.col(f"at{k}") + F.lit(k) * F.col("source_size")))
-    return rows.withColumn("taken", sum((F.col(f"take{k}") for k in range(1, most)), F.col("take0")))
+    aims = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, float(most))
+    width = F.greatest(F.lit(1).cast("long"), F.ceil(F.sum("source_size").over(Window.partitionBy(F.lit(1)).rowsBetween(*ALL)) / blocks))
+    aims = materialize(aims.withColumn("words", F.round("target").cast("long")).withColumn("width", width), "targets")
+    placed = positions(rows, seed, buckets).alias("r").join(aims.alias("a"), F.col("r.source").eqNullSafe(F.col("a.source"))).select("r.*", F.floor(F.col("at") / F.col("a.width")).cast("long").alias("block"))
+    placed = materialize(placed, "placed")
+    dealt = dealt_blocks(placed, aims, shards, most, seed)
+    out = placed.alias("r").join(aims.alias("a"), F.col("r.source").eqNullSafe(F.col("a.source"))).select("r.*", "a.source_size", "a.target")
+    out = out.alias("r").join(dealt.alias("d"), F.col("r.source").eqNullSafe(F.col("d.source")) & (F.col("r.block") == F.col("d.block")), "left")
+    none = F.lit(0).cast("long")
+    taken = [F.when(F.col(f"d.room{k}").isNull(), none).otherwise(F.greatest(none, F.least(F.col("r.size"), F.col(f"d.room{k}") - F.col("r.at") + F.col("d.start")))).alias(f"take{k}") for k in range(most)]
+    out = out.select("r.doc_id", "r.size", "r.source_size", "r.target", *taken, *[F.col(f"d.shard{k}").alias(f"shard{k}") for k in range(most)])
+    every = sum((F.col(f"take{k}") for k in range(1, most)), F.col("take0"))
+    return out.select("doc_id", "size", "source_size", "target", every.alias("taken"), *[f"take{k}" for k in range(most)], *[F.when(F.col(f"take{k}") > 0, F.col(f"shard{k}")).alias(f"shard{k}") for k in range(most)])
 
 
 def splitting_tree(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
@@ -123,40 +123,27 @@ def splitting_tree(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     return node.groupBy("source", F.col("low").alias("shard")).agg(F.count(F.lit(1)).alias("blocks"))
 
 
-def dealt_blocks(aims: DataFrame, shards: int, blocks: int, seed: int) -> DataFrame:
-    """(source, block, block_words, shard): each source's permuted blocks, dealt by the tree's quotas."""
-    size = F.greatest(F.lit(1).cast("long"), F.ceil(F.sum("words").over(Window.partitionBy(F.lit(1)).rowsBetween(*ALL)) / blocks))
-    quotas = aims.withColumn("block_words", size).withColumn("blocks", F.ceil(F.col("words") / F.col("block_words")))
+def dealt_blocks(placed: DataFrame, aims: DataFrame, shards: int, most: int, seed: int) -> DataFrame:
+    """(source, block, start) of drawn blocks, and for each pass the shard that got it and the words that it may give (``room``)."""
+    held = placed.groupBy("source", "block").agg(F.sum("size").alias("words"), F.min("at").alias("start")).where("words > 0")
+    held = held.alias("h").join(aims.alias("a"), F.col("h.source").eqNullSafe(F.col("a.source"))).select("h.*", F.col("a.words").alias("aim"))
+    offered = held.select("*", F.explode(F.sequence(F.lit(0), F.lit(most - 1))).alias("pass"))
+    named = lambda what: random_key(F.lit(seed), F.lit(what), F.col("pass"), F.col("source"), F.col("source").isNull(), F.col("block"))
+    earlier = Window.partitionBy("source").orderBy("pass", named("draw"), "block").rowsBetween(Window.unboundedPreceding, -1)
+    drawn = offered.withColumn("before", F.coalesce(F.sum("words").over(earlier), F.lit(0).cast("long"))).where("before < aim")
+    drawn = materialize(drawn.select("source", "block", "start", "pass", F.least("words", F.col("aim") - F.col("before")).alias("room")), "drawn")
     running = Window.partitionBy("source").orderBy("shard")
-    ends = splitting_tree(quotas.select("source", "blocks"), shards, seed).withColumn("upto", F.sum("blocks").over(running))
-    ends = ends.select("source", "shard", F.explode(F.sequence(F.col("upto") - F.col("blocks"), F.col("upto") - 1)).alias("place"))
-    numbered = quotas.where("blocks > 0").select("source", "block_words", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
-    permuted = Window.partitionBy("source").orderBy(random_key(F.lit(seed), F.lit("deal"), F.col("source"), F.col("source").isNull(), F.col("block")), "block")
-    numbered = numbered.withColumn("place", (F.row_number().over(permuted) - 1).cast("long"))
-    return numbered.alias("d").join(ends.alias("e"), F.col("d.source").eqNullSafe(F.col("e.source")) & (F.col("d.place") == F.col("e.place"))).select("d.source", "d.block", "d.block_words", "e.shard")
-
-
-def assign(mixed: DataFrame, shards: int = 8, blocks: int = 4096, seed: int = 20240607) -> DataFrame:
-    """Rows of :func:`mix` with ``shard0``.. for each pass: the shard of the block where the row begins, null if the pass takes nothing.
-
-    About ``blocks`` blocks in all, one more for each source at most, so the table of blocks is bounded.
-    """
-    passes = sorted(c[4:] for c in mixed.columns if c.startswith("take") and c[4:].isdigit())
-    aims = mixed.groupBy("source").agg(F.first("words").alias("words"))
-    dealt = materialize(dealt_blocks(aims, shards, blocks, seed), "blocks")
-    width = dealt.groupBy("source").agg(F.first("block_words").alias("block_words"))
-    rows = mixed.alias("r").join(width.alias("w"), F.col("r.source").eqNullSafe(F.col("w.source")), "left").select("r.*", "w.block_words")
-    for p in passes:
-        starts = F.floor((F.col(f"at{p}") + F.lit(int(p)) * F.col("source_size")) / F.col("block_words")).cast("long")
-        some = dealt.select(F.col("source").alias("s"), F.col("block").alias("b"), F.col("shard").alias(f"shard{p}"))
-        rows = rows.withColumn("b_", F.when(F.col(f"take{p}") > 0, starts)).alias("r")
-        rows = rows.join(some.alias("d"), F.col("r.source").eqNullSafe(F.col("d.s")) & (F.col("r.b_") == F.col("d.b")), "left").select("r.*", f"d.shard{p}").drop("b_")
-    return rows.drop("block_words")
+    tree = splitting_tree(drawn.groupBy("source").agg(F.count(F.lit(1)).alias("blocks")), shards, seed)
+    ends = tree.withColumn("upto", F.sum("blocks").over(running)).select("source", "shard", F.explode(F.sequence(F.col("upto") - F.col("blocks") + 1, F.col("upto"))).alias("place"))
+    numbered = drawn.withColumn("place", F.row_number().over(Window.partitionBy("source").orderBy(named("deal"), "pass", "block")))
+    dealt = numbered.alias("d").join(ends.alias("e"), F.col("d.source").eqNullSafe(F.col("e.source")) & (F.col("d.place") == F.col("e.place"))).select("d.*", "e.shard")
+    of = lambda k, c: F.max(F.when(F.col("pass") == k, F.col(c))).alias(f"{c}{k}")
+    return materialize(dealt.groupBy("source", "block", "start").agg(*[of(k, c) for k in range(most) for c in ("shard", "room")]), "dealt")
 
 
 def mix_into_shards(docs: DataFrame, shards: int = 8) -> DataFrame:
     """doc_id, size, source_size, target, taken, shard0, shard1 for each row of ``docs`` (doc_id, text, source)."""
-    return assign(mix(docs), shards).select("doc_id", "size", "source_size", "target", "taken", "shard0", "shard1")
+    return mix(docs, shards).select("doc_id", "size", "source_size", "target", "taken", "shard0", "shard1")
 
 
 def copies(docs: DataFrame, shards: int = 8, seed: int = 20240607) -> DataFrame:
@@ -166,7 +153,7 @@ def copies(docs: DataFrame, shards: int = 8, seed: int = 20240607) -> DataFrame:
     """
     row, shard, order = (fresh(n, docs.columns) for n in ("row", "shard", "order"))
     rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "docs")
-    placed = assign(mix(rows.select(F.col(row).alias("doc_id"), "text", "source")), shards)
+    placed = mix(rows.select(F.col(row).alias("doc_id"), "text", "source"), shards)
     each = F.explode(F.array(*[F.struct(F.lit(k).alias("pass"), F.col(f"shard{k}").alias("shard"), F.col(f"take{k}").alias("words")) for k in range(2)]))
     taken = placed.select(F.col("doc_id").alias(row), each.alias("p")).where("p.words > 0")
     taken = taken.select(row, F.col("p.shard").alias(shard), F.xxhash64(F.lit(seed), row, "p.pass").alias(order))

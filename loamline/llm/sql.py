@@ -12,7 +12,7 @@ SEED = 20240607
 
 OP2 = rf"""
 WITH RECURSIVE docs AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{PLAIN}')) AS size FROM documents
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{PLAIN}')) AS size, md5(coalesce(text, '')) AS digest FROM documents
 ), sizes AS (
   SELECT source, sum(size)::BIGINT AS source_size, [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight FROM docs GROUP BY source
 ), levels AS (
@@ -22,16 +22,23 @@ WITH RECURSIVE docs AS (
   FROM levels WINDOW w AS (ORDER BY level, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), water AS (SELECT arg_min(reach, level) FILTER (reach < level) AS water FROM reaches
 ), aims AS (
-  SELECT source, source_size, CASE WHEN water IS NULL THEN cap ELSE least(cap, water * weight) END AS target, round(CASE WHEN water IS NULL THEN cap ELSE least(cap, water * weight) END)::BIGINT AS words FROM reaches, water
-), places AS (
-  SELECT d.doc_id, d.source, d.size, a.source_size, a.target, a.words,
-    sum(size) OVER (PARTITION BY d.source ORDER BY md5('{SEED}:0:' || coalesce(d.doc_id::VARCHAR, '')), d.doc_id, size ROWS UNBOUNDED PRECEDING) - size AS at0,
-    sum(size) OVER (PARTITION BY d.source ORDER BY md5('{SEED}:1:' || coalesce(d.doc_id::VARCHAR, '')), d.doc_id, size ROWS UNBOUNDED PRECEDING) - size + a.source_size AS at1
+  SELECT *, round(target)::BIGINT AS words, greatest(1, ceil(sum(source_size) OVER () / 4096))::BIGINT AS width
+  FROM (SELECT source, source_size, CASE WHEN water IS NULL THEN cap ELSE least(cap, water * weight) END AS target FROM reaches, water)
+), placed AS (
+  SELECT d.doc_id, d.source, d.size, a.source_size, a.target, a.words AS aim, a.width,
+    sum(size) OVER (PARTITION BY d.source ORDER BY md5('{SEED}:' || coalesce(d.doc_id::VARCHAR, '') || ':' || digest), d.doc_id, size ROWS UNBOUNDED PRECEDING) - size AS pos
   FROM docs d JOIN aims a ON d.source IS NOT DISTINCT FROM a.source
-), quotas AS (
-  SELECT source, greatest(1, ceil(sum(words) OVER () / 4096))::BIGINT AS block_words, ceil(words / greatest(1, ceil(sum(words) OVER () / 4096)))::BIGINT AS blocks FROM aims
+), held AS (
+  SELECT source, aim, (pos // width)::BIGINT AS block, sum(size)::BIGINT AS words, min(pos) AS start FROM placed GROUP BY ALL HAVING sum(size) > 0
+), offered AS (
+  SELECT *, coalesce(sum(words) OVER (PARTITION BY source ORDER BY pass, md5('{SEED}:draw:' || pass || ':' || coalesce(source, '') || ':' || (source IS NULL) || ':' || block), block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+  FROM held, range(0, 2) AS passes(pass)
+), drawn AS (
+  SELECT source, block, start, pass, least(words, aim - before) AS room,
+    row_number() OVER (PARTITION BY source ORDER BY md5('{SEED}:deal:' || pass || ':' || coalesce(source, '') || ':' || (source IS NULL) || ':' || block), pass, block) AS place
+  FROM offered WHERE before < aim
 ), tokens AS (
-  SELECT source, unnest(range(1, blocks + 1)) AS token, sum(blocks) OVER () AS every FROM quotas
+  SELECT source, unnest(range(1, blocks + 1)) AS token, sum(blocks) OVER () AS every FROM (SELECT source, count(*) AS blocks FROM drawn GROUP BY source)
 ), tree0 AS (
   SELECT *, row_number() OVER (ORDER BY md5('{SEED}:tree:0:' || coalesce(source, '') || ':' || (source IS NULL) || ':' || token)) <= floor(every * 4 / 8) AS left_ FROM tokens
 ), tree1 AS (
@@ -44,19 +51,17 @@ WITH RECURSIVE docs AS (
   SELECT *, row_number() OVER (PARTITION BY low ORDER BY md5('{SEED}:tree:2:' || coalesce(source, '') || ':' || (source IS NULL) || ':' || token)) <= floor(every * (low + 1) / 8) - floor(every * low / 8) AS left_ FROM tree2
 ), slots AS (
   SELECT source, CASE WHEN left_ THEN low ELSE low + 1 END AS shard, row_number() OVER (PARTITION BY source ORDER BY CASE WHEN left_ THEN low ELSE low + 1 END) AS place FROM tree2d
-), blocks AS (
-  SELECT source, block_words, block, row_number() OVER (PARTITION BY source ORDER BY md5('{SEED}:deal:' || coalesce(source, '') || ':' || (source IS NULL) || ':' || block), block) AS place
-  FROM (SELECT source, block_words, unnest(range(0, blocks)) AS block FROM quotas)
 ), dealt AS (
-  SELECT b.source, b.block, b.block_words, s.shard FROM blocks b JOIN slots s ON b.source IS NOT DISTINCT FROM s.source AND b.place = s.place
+  SELECT d.source, d.block, d.start, d.pass, d.room, s.shard FROM drawn d JOIN slots s ON d.source IS NOT DISTINCT FROM s.source AND d.place = s.place
 ), taken AS (
-  SELECT *, greatest(0, least(size, words - at0)) AS take0, greatest(0, least(size, words - at1)) AS take1 FROM places
+  SELECT p.doc_id, p.size, p.source_size, p.target, d0.shard AS s0, d1.shard AS s1,
+    CASE WHEN d0.room IS NULL THEN 0 ELSE greatest(0, least(size, d0.room - pos + d0.start)) END AS take0, CASE WHEN d1.room IS NULL THEN 0 ELSE greatest(0, least(size, d1.room - pos + d1.start)) END AS take1
+  FROM placed p
+  LEFT JOIN dealt d0 ON d0.pass = 0 AND p.source IS NOT DISTINCT FROM d0.source AND pos // width = d0.block
+  LEFT JOIN dealt d1 ON d1.pass = 1 AND p.source IS NOT DISTINCT FROM d1.source AND pos // width = d1.block
 )
-SELECT t.doc_id, t.size::BIGINT AS size, t.source_size, t.target, (take0 + take1)::BIGINT AS taken, d0.shard::INTEGER AS shard0, d1.shard::INTEGER AS shard1
-FROM taken t
-LEFT JOIN quotas q ON t.source IS NOT DISTINCT FROM q.source
-LEFT JOIN dealt d0 ON t.source IS NOT DISTINCT FROM d0.source AND take0 > 0 AND at0 // q.block_words = d0.block
-LEFT JOIN dealt d1 ON t.source IS NOT DISTINCT FROM d1.source AND take1 > 0 AND at1 // q.block_words = d1.block
+SELECT doc_id, size::BIGINT AS size, source_size, target, (take0 + take1)::BIGINT AS taken,
+  (CASE WHEN take0 > 0 THEN s0 END)::INTEGER AS shard0, (CASE WHEN take1 > 0 THEN s1 END)::INTEGER AS shard1 FROM taken
 """
 
 OP3 = rf"""

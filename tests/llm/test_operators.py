@@ -153,6 +153,22 @@ def test_tree_keeps_quotas(spark):
     assert by_source == {"a": 50, "b": 13, None: 1} and sorted(by_shard) == list(range(6)) and max(by_shard.values()) - min(by_shard.values()) <= 1
 
 
+def test_what_the_tree_does_not_deal_is_not_taken(monkeypatch, odd):
+    want = mixing.mix(odd, shards=4).collect()
+    tree = mixing.splitting_tree
+    monkeypatch.setattr(mixing, "splitting_tree", lambda quotas, shards, seed: tree(quotas, shards, seed).where("shard <> 1"))
+    got = mixing.mix(odd, shards=4).collect()
+    own = lambda rows: [tuple(sum(getattr(x, f"take{k}") for x in rows if getattr(x, f"shard{k}") == s) for k in range(2)) for s in range(4)]
+    assert all(0 < sum(x) for x in own(want)) and sum(own(got)[1]) == 0 and sum(x.taken for x in got) < sum(x.taken for x in want)
+    assert sum(map(sum, own(want))) == sum(x.taken for x in want)
+
+
+def test_hot_source_comes_near_its_target(spark):
+    docs = spark.range(3000).selectExpr("id doc_id", "case when id % 3 = 0 then 'a' when id < 30 then 'b' else 'hot' end source", "repeat('w ', cast(1 + id % 7 as int)) text")
+    got = mixing.mix(docs, blocks=64).groupBy("source_size").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.max(F.col("taken") - 2 * F.col("size")).alias("over")).collect()
+    assert len(got) == 3 and all(x.taken == round(x.target) and x.over <= 0 for x in got)
+
+
 def test_copies_are_whole_rows(odd, rows):
     got = mixing.copies(odd)
     assert got.columns[: len(odd.columns)] == odd.columns
