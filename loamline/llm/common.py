@@ -20,10 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a temp folder only where unset."""
-    set_to = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; unset, a temp folder in local mode, and an error on a cluster."""
+    set_to = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not set_to:
-        set_to = spark.sparkContext.getCheckpointDir() or f"file://{tempfile.mkdtemp(prefix='loamline-')}"
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("Set spark.checkpoint.dir to a folder that the driver and all executors share")
+        set_to = f"file://{tempfile.mkdtemp(prefix='loamline-')}"
         spark.conf.set("spark.checkpoint.dir", set_to)
     return set_to.rstrip("/")
 

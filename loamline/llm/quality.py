@@ -24,6 +24,10 @@ SYMBOLS = r"[#*$%&|<>]"
 PLACE_BITS = 20
 
 
+def window_hash(first: Column, second: Column, third: Column) -> Column:
+    return F.xxhash64(first, second, third)
+
+
 def n_repeat_words(words: Column) -> Column:
     """Words inside 3-word windows that occur at least twice.
 
@@ -33,7 +37,7 @@ def n_repeat_words(words: Column) -> Column:
     """
     n = F.size(words)
     mask = F.lit((1 << PLACE_BITS) - 1)
-    hashes = F.transform(F.slice(words, 1, F.greatest(n - 2, F.lit(0))), lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
+    hashes = F.transform(F.slice(words, 1, F.greatest(n - 2, F.lit(0))), lambda w, i: window_hash(w, F.get(words, i + 1), F.get(words, i + 2)))
     packed = lambda h: F.transform(h, lambda x, i: F.shiftleft(F.shiftrightunsigned(x, PLACE_BITS), PLACE_BITS).bitwiseOR(i.cast("long")))
     paired = lambda h: F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))
     small = lambda h: covered(F.sort_array(packed(h)), words, lambda x: x.bitwiseAND(mask).cast("int"), lambda x: F.shiftrightunsigned(x, PLACE_BITS))
@@ -43,23 +47,34 @@ def n_repeat_words(words: Column) -> Column:
 
 
 def covered(ordered: Column, words: Column, place, key) -> Column:
-    """Words that the windows of ``ordered`` cover which equal a neighbour."""
-
-    def same(x: Column, y: Column) -> Column:
-        equal = key(x) == key(y)
-        for k in range(3):
-            equal = equal & (F.get(words, place(x) + k) == F.get(words, place(y) + k))
-        return F.coalesce(equal, F.lit(False))
-
-    def starts(o: Column) -> Column:
-        with_next = F.zip_with(o, F.slice(o, 2, F.size(o)), lambda x, y: F.coalesce(y.isNotNull() & same(x, y), F.lit(False)))
-        flagged = lambda e: F.zip_with(o, F.zip_with(e, F.concat(F.array(F.lit(False)), F.slice(e, 1, F.size(e) - 1)), lambda x, y: x | y), lambda x, f: F.when(f, place(x)))
-        return F.sort_array(F.array_compact(let(with_next, flagged)))
+    """Words that the windows of ``ordered`` cover which equal a neighbour.
 
+    Of different windows with one hash, those that are equal may be parted by another; windows are then sorted by their words.
+    """
+    same = lambda x, y: equal_words(words, place(x), place(y))
+    beside = lambda o: F.zip_with(o, F.slice(o, 2, F.size(o)), lambda x, y: F.when(y.isNotNull() & (key(x) == key(y)), same(x, y)))
+    by_words = F.sort_array(F.transform(F.sequence(F.lit(0), F.size(words) - 3), lambda i: F.struct(*[F.get(words, i + k).alias(f"w{k}") for k in range(3)], i.alias("i"))))
+    next_equal = lambda o: F.zip_with(o, F.slice(o, 2, F.size(o)), lambda x, y: F.coalesce(equal_words(words, x["i"], y["i"]), F.lit(False)))
+    exact = let(by_words, lambda o: repeats(o, next_equal(o), lambda x: x["i"]))
+    judged = lambda o, e: F.when(F.exists(e, lambda x: ~x), exact).otherwise(repeats(o, F.transform(e, lambda x: F.coalesce(x, F.lit(False))), place))
+    return let(ordered, lambda o: let(beside(o), lambda e: judged(o, e)))
+
+
+def equal_words(words: Column, x: Column, y: Column) -> Column:
+    equal = F.get(words, x) == F.get(words, y)
+    for k in (1, 2):
+        equal = equal & (F.get(words, x + k) == F.get(words, y + k))
+    return equal
+
+
+def repeats(ordered: Column, equals_next: Column, place) -> Column:
+    """Words that the windows of ``ordered`` cover of which ``equals_next`` tells that they equal the next or the one before."""
+    either = F.zip_with(equals_next, F.concat(F.array(F.lit(False)), F.slice(equals_next, 1, F.size(equals_next) - 1)), lambda x, y: x | y)
+    starts = F.sort_array(F.array_compact(F.zip_with(ordered, either, lambda x, f: F.when(f, place(x)))))
     # Each start adds the words that the start before it does not cover.
     added = lambda s: F.zip_with(s, F.concat(F.array(F.lit(-3)), F.slice(s, 1, F.size(s) - 1)), lambda x, y: F.least(F.lit(3), x - y))
     total = lambda s: F.when(F.size(s) == 0, F.lit(0)).otherwise(F.aggregate(added(s), F.lit(0), lambda acc, x: acc + x))
-    return let(let(ordered, starts), total)
+    return let(starts, total)
 
 
 def base_columns(text: Column) -> tuple[Column, dict[str, Column]]:

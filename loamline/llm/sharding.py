@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loamline.llm.common import materialize, quoted
+from loamline.llm.common import fresh, materialize, quoted
 
 ROUNDS = 4
 #: Steps of cycle walking.  At most a - 1 numbers lie beyond N, so one step fails with a chance under
@@ -90,9 +90,10 @@ def shard_rows(docs: DataFrame, shards: int = 8, seed: int = 20240607, buckets:
 
 
 def shard_docs(docs: DataFrame, shards: int = 8, seed: int = 20240607, buckets: int | None = None) -> DataFrame:
-    """The rows of ``docs``, with all their columns (but earlier ones named shard or slot), and shard and slot."""
+    """The rows of ``docs``, with all their columns, and shard and slot (with underscores behind them where ``docs`` has such columns)."""
     out = placed(numbered(sized(docs), ["doc_id", "text_crc32", "size"], buckets), shards, seed)
-    return out.select(*[F.col("doc")[c].alias(c) for c in docs.columns if c.lower() not in ("shard", "slot")], "shard", "slot")
+    named = [F.col(c).alias(fresh(c, docs.columns)) for c in ("shard", "slot")]
+    return out.select(*[F.col("doc")[c].alias(c) for c in docs.columns], *named)
 
 
 def placed(rows: DataFrame, shards: int, seed: int) -> DataFrame:

@@ -216,6 +216,21 @@ def test_long_texts_take_the_exact_path(spark, monkeypatch):
     assert [x[0] for x in got] == [35, 6]
 
 
+@pytest.mark.parametrize("place_bits", [20, 2])
+def test_equal_windows_that_another_of_their_hash_parts_are_found(spark, monkeypatch, place_bits):
+    monkeypatch.setattr(quality, "PLACE_BITS", place_bits)
+    monkeypatch.setattr(quality, "window_hash", lambda a, b, c: F.pmod(F.xxhash64(a), F.lit(2)) * F.lit(1 << 40))  # a few hashes for all windows
+    r = random.Random(6)
+    texts = [" ".join(r.choice("abc") for _ in range(n)) for n in (4, 5, 9, 14, 30, 60) for _ in range(4)] + [" ".join(map(str, range(40)))]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1).select(quality.n_repeat_words(F.split("t", " "))).collect()
+    want = []
+    for t in texts:
+        w = t.split()
+        seen = Counter(zip(w, w[1:], w[2:], strict=False))
+        want.append(len({i + j for i in range(len(w) - 2) if seen[tuple(w[i : i + 3])] > 1 for j in range(3)}))
+    assert [x[0] for x in got] == want
+
+
 # 5 toxicity
 
 
@@ -257,7 +272,7 @@ def test_shards(odd, rows):
     assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
     assert sorted(map(str, got)) == sorted(map(str, sharding.shard_rows(odd.repartition(7)).collect()))
     whole = sharding.shard_docs(odd)
-    assert "shard" in whole.columns and whole.columns.count("shard") == 1 and whole.count() == len(rows)
+    assert whole.columns == [*odd.columns, "shard_", "slot"] and sorted(map(str, whole.select(odd.columns).collect())) == sorted(map(str, rows))
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 7, 8, 90, 91, 1000])
