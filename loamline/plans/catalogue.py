@@ -1,9 +1,7 @@
-"""The registered queries of the entity engine, each over whole tables, with their DuckDB forms."""
+"""The registered queries of the entity engine, each over whole tables, with their DuckDB forms.  Those of file formats are in ``formats``."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,31 +9,13 @@ from loamline.functions import language
 from loamline.functions import text as T
 from loamline.model import entity_id, merge_values
 from loamline.operators import relational as R
-from loamline.plans import ingest
+from loamline.plans import formats, ingest  # noqa: F401  formats registers its own queries
+from loamline.plans.registered import ORACLES, QUERIES, query, table
 from loamline.registry import EXTRACTORS, FAMILY_BIDS
 from loamline.sources.base import File
 from loamline.sources.documents import header_fields, json_strings, read_page
 from loamline.sources.mail import rfc822
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def register(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return register
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def found_sql(pattern: str) -> str:
     return f"""SELECT doc_id, unnest(m) AS match, unnest(range(0, len(m)))::INTEGER AS pos FROM (SELECT doc_id, regexp_extract_all(text, '(?i){pattern}', 0) AS m FROM documents)"""
 
