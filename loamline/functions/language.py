@@ -65,12 +65,14 @@ def detect_chunks(chunks: DataFrame, known: dict[str, dict[str, float]]) -> Data
     """(entity_id, pos, language, score) of chunks (entity_id, pos, chunk)."""
     held = chunks.sparkSession.sparkContext.broadcast(known)
 
+    kind = chunks.schema["pos"].dataType.simpleString()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [detect(t or "", held.value) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=["entity_id", "pos", "language", "score"])
 
-    return chunks.select("entity_id", F.col("pos").cast("long"), "chunk").mapInArrow(run, "entity_id string, pos long, language string, score double")
+    return chunks.select("entity_id", "pos", "chunk").mapInArrow(run, f"entity_id string, pos {kind}, language string, score double")
 
 
 def first_confident(detected: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -106,6 +109,21 @@ def parse_timestamp(raw: Column) -> Column:
     return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in TIMESTAMP_FORMATS])
 
 
+def timestamp_or_raw(raw: Column) -> Column:
+    """ISO text of the first format that fits, a fraction of a second cut; text that none fits as it is, and null for blank text."""
+    return F.when(raw.rlike(r"(?U)\S"), F.coalesce(F.date_format(parse_timestamp(raw), "yyyy-MM-dd'T'HH:mm:ss"), raw))
+
+
+def nfkd(text: Column) -> Column:
+    """Compatibility decomposition (NFKD) of stripped text, stripped again.  Spark has no expression for it, so it goes by Arrow batches."""
+
+    @F.pandas_udf("string")
+    def normal(values: pd.Series) -> pd.Series:
+        return values.map(lambda x: None if x is None else unicodedata.normalize("NFKD", x.strip()).strip())
+
+    return normal(text)
+
+
 def html_escape(text: Column) -> Column:
     """Text as HTML: escaped, trimmed, with ``<br>`` for each line end."""
     out = text

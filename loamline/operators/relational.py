@@ -56,19 +56,21 @@ def _is(name: str, x: Column) -> Column:
 def pattern_tags(texts: DataFrame) -> DataFrame:
     """(entity_id, pos, prop, value): cleaned e-mail addresses, phone numbers and IBANs of (entity_id, text), and the countries they hint at.
 
-    ``pos`` orders the tags of an entity.
+    ``pos`` orders the tags of an entity; if texts have a ``pos``, as the chunks of an entity do, by that first.
     """
+    chunked = "pos" in texts.columns
     found = texts.select(
-        "entity_id",
+        "entity_id", *([F.col("pos").alias("of")] if chunked else []),
         F.explode(F.concat(*[
             F.transform(T.matches(F.col("text"), p), functools.partial(_tag, prop, k))
             for k, (prop, p) in enumerate((("emailMentioned", T.EMAIL), ("phoneMentioned", T.PHONE), ("ibanMentioned", T.IBAN)))
         ])).alias("tag"),
-    ).select("entity_id", "tag.*")
+    ).select("entity_id", *(["of"] if chunked else []), "tag.*")
+    place = lambda at: F.struct("of", at.alias("at")) if chunked else at
     value = F.when(F.col("prop") == "emailMentioned", T.clean_email(F.col("match"))).when(F.col("prop") == "phoneMentioned", T.clean_phone(F.col("match"))).otherwise(T.clean_iban(F.col("match")))
     clean = found.withColumn("value", value).where("value is not null")
     country = F.when(F.col("prop") == "phoneMentioned", T.phone_country(F.col("value"))).when(F.col("prop") == "ibanMentioned", T.iban_country(F.col("value")))
-    both = F.array(F.struct(F.col("prop").alias("prop"), F.col("value").alias("value"), (F.col("at") * 2).alias("pos")), F.struct(F.lit("detectedCountry").alias("prop"), country.alias("value"), (F.col("at") * 2 + 1).alias("pos")))
+    both = F.array(F.struct(F.col("prop").alias("prop"), F.col("value").alias("value"), place(F.col("at") * 2).alias("pos")), F.struct(F.lit("detectedCountry").alias("prop"), country.alias("value"), place(F.col("at") * 2 + 1).alias("pos")))
     return clean.select("entity_id", F.explode(both).alias("t")).select("entity_id", "t.pos", "t.prop", "t.value").where("value is not null")
 
 
@@ -131,6 +133,12 @@ def mentions(groups: DataFrame, entity_schemas: DataFrame, country_sets: DataFra
     )
 
 
+def place_countries(places: DataFrame, gazetteer: DataFrame) -> DataFrame:
+    """(entity_id, country) of places (entity_id, value) that ``gazetteer`` (name, country) knows, whatever their case and white space."""
+    known = gazetteer.select(node_key(F.col("name")).alias("key"), "country").where("key is not null").distinct()
+    return places.withColumn("key", node_key(F.col("value"))).join(known, "key").select("entity_id", "country").distinct()
+
+
 def pick_name(values: Column) -> Column:
     """The longest of an array of names, and of those the first by code point."""
     return F.array_min(F.transform(values, lambda v: F.struct((-F.length(v)).alias("n"), v.alias("v"))))["v"]

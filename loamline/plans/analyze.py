@@ -31,9 +31,14 @@ def analyzable(fragments: DataFrame) -> DataFrame:
 
 
 def text_chunks(fragments: DataFrame) -> DataFrame:
-    """(entity_id, pos, chunk) of the texts of fragments, each text once."""
-    texts = long_form(fragments).where(F.col("prop").isin(*TEXT_PROPS)).select("entity_id", F.col("value").alias("text")).distinct()
-    return texts.select("entity_id", "text", F.posexplode(T.chunks(F.col("text"))).alias("k", "chunk")).select("entity_id", (F.xxhash64("text") * 0 + F.col("k")).alias("pos"), "chunk")
+    """(entity_id, pos, chunk) of the texts of fragments, each text of an entity once.
+
+    ``pos`` orders the chunks of an entity: by fragment (shorter names first, so that numbers are in order), property, text, and place in it.
+    """
+    order = F.struct(F.length("fragment").alias("n"), "fragment", "prop", F.xxhash64("value").alias("text"))
+    texts = long_form(fragments).where(F.col("prop").isin(*TEXT_PROPS)).groupBy("entity_id", F.col("value").alias("text")).agg(F.min(order).alias("at"))
+    pieces = texts.select("entity_id", "at", F.posexplode(T.chunks(F.col("text"))).alias("k", "chunk"))
+    return pieces.select("entity_id", F.struct("at", "k").alias("pos"), "chunk")
 
 
 def analyze(fragments: DataFrame, profiles: dict[str, dict[str, float]] | None = None, names: Callable[[DataFrame], DataFrame] | None = None, keep_language_only: bool = False) -> Analyzed:
@@ -44,7 +49,7 @@ def analyze(fragments: DataFrame, profiles: dict[str, dict[str, float]] | None =
     """
     chunks = text_chunks(analyzable(fragments))
     schemas = analyzable(fragments).groupBy("entity_id").agg(F.max("schema").alias("schema"))
-    tags = R.pattern_tags(chunks.select("entity_id", F.col("chunk").alias("text")))
+    tags = R.pattern_tags(chunks.select("entity_id", "pos", F.col("chunk").alias("text")))
     grouped = R.group_tags(tags)
     out = grouped.select("entity_id", "prop", F.col("label").alias("value"))
     country_sets = R.countries(tags)

@@ -9,7 +9,9 @@ from loamline.functions import language
 from loamline.functions import text as T
 from loamline.model import entity_id, merge_values
 from loamline.operators import relational as R
-from loamline.plans import formats, ingest  # noqa: F401  formats registers its own queries
+from loamline.plans import formats, ingest, streams  # noqa: F401  formats and streams register their own queries
+from loamline.plans.analyze import analyze
+from loamline.plans.analyze import returned_ids as analyzed_ids
 from loamline.plans.registered import ORACLES, QUERIES, query, table
 from loamline.registry import EXTRACTORS, FAMILY_BIDS
 from loamline.sources.base import File
@@ -172,17 +174,17 @@ def auction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """page_id, title, keywords, text of each page, from one parse."""
+    """page_id, title, lang, text of each page, from one parse."""
     import pyarrow as pa
 
     def run(batches):
         for batch in batches:
             pages = [read_page(h or "") for h in batch.column(1).to_pylist()]
             heads = [header_fields(p) for p in pages]
-            columns = [batch.column(0), pa.array([(h.get("title") or [None])[0] for h in heads], pa.string()), pa.array([h.get("keywords", []) for h in heads], pa.list_(pa.string())), pa.array([p.text() for p in pages], pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=["page_id", "title", "keywords", "text"])
+            columns = [batch.column(0), pa.array([(h.get("title") or [None])[0] for h in heads], pa.string()), pa.array([p.lang for p in pages], pa.string()), pa.array([p.text() for p in pages], pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["page_id", "title", "lang", "text"])
 
-    return table(spark, sf_dir, "pages").select("page_id", "html").mapInArrow(run, "page_id long, title string, keywords array<string>, text string")
+    return table(spark, sf_dir, "pages").select("page_id", "html").mapInArrow(run, "page_id long, title string, lang string, text string")
 
 
 @query(r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g')) AS title FROM pages""")
@@ -190,14 +192,9 @@ def html_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_fields(spark, sf_dir).select("page_id", "title")
 
 
-@query("SELECT page_id, 0 AS n_keywords FROM pages WHERE html NOT LIKE '%<meta name=\"keywords\"%'")
-def html_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return page_fields(spark, sf_dir).select("page_id", F.size("keywords").alias("n_keywords"))
-
-
 @query("SELECT page_id, regexp_extract(html, '<html lang=\"([^\"]*)\"', 1) AS lang FROM pages")
 def html_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("html", r'<html lang="([^"]*)"', 1).alias("lang"))
+    return page_fields(spark, sf_dir).select("page_id", F.coalesce("lang", F.lit("")).alias("lang"))
 
 
 @query()
@@ -218,17 +215,6 @@ def json_string_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("conv_id", "turn", F.posexplode(values(packed)).alias("pos", "value"))
 
 
-@query("SELECT event_id FROM events WHERE props LIKE '%: \"%'")
-def json_strings_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events whose props hold a string value: numbers and keys are none."""
-
-    @F.pandas_udf("int")
-    def held(raw):
-        return raw.map(lambda x: len(json_strings(x)) if x else 0)
-
-    return table(spark, sf_dir, "events").where(held(F.col("props")) > 0).select("event_id")
-
-
 @query("SELECT sha1(text) AS content_hash, count(*) AS copies, min(doc_id) AS first_doc FROM documents GROUP BY 1")
 def content_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.sha1(F.col("text").cast("binary")).alias("content_hash"), "doc_id")
@@ -379,11 +365,82 @@ def emitted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.unionByName(table(spark, sf_dir, "pages").select(entity_id(F.lit("page"), F.col("page_id")).alias("id"))).distinct()
 
 
-@query("SELECT c_custkey, n_name AS country FROM customer JOIN nation ON c_nationkey = n_nationkey")
+@query("SELECT c_custkey, n_name AS country FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 9 <> 0")
 def place_country(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Places looked up in a gazetteer (the nations), which has a bounded number of rows."""
-    places = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
-    return places.join(table(spark, sf_dir, "nation"), "n_nationkey").select("c_custkey", F.col("n_name").alias("country"))
+    """Places, in any case and with any blanks, looked up in a gazetteer; places that it lacks have no country."""
+    nation = table(spark, sf_dir, "nation")
+    named = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    text = F.when(F.col("c_custkey") % 9 == 0, F.lit("nowhere")).when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("  "), F.lower("n_name"), F.lit(" "))).otherwise(F.col("n_name"))
+    found_ = R.place_countries(named.select(F.col("c_custkey").alias("entity_id"), text.alias("value")), nation.select(F.col("n_name").alias("name"), F.col("n_name").alias("country")))
+    return found_.select(F.col("entity_id").alias("c_custkey"), "country")
+
+
+@query("SELECT doc_id, CASE lang WHEN 'en' THEN 'eng' WHEN 'de' THEN 'deu' WHEN 'fr' THEN 'fra' WHEN 'es' THEN 'spa' END AS model FROM documents")
+def name_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model of names that a document's language chooses."""
+    return table(spark, sf_dir, "documents").select("doc_id", language.name_model(F.col("lang")).alias("model"))
+
+
+@query("SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%dT00:00:00') WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') WHEN 2 THEN 'about ' || o_orderpriority END AS ts FROM orders")
+def timestamp_or_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Timestamps as ISO text; what is none comes back as it is, blank text as null."""
+    at = F.col("o_orderdate").cast("timestamp")
+    raw = F.array(F.date_format(at, "yyyyMMdd"), F.date_format(at, "yyyy:MM:dd HH:mm:ss.SSS"), F.concat(F.lit("about "), "o_orderpriority"), F.lit("  "))
+    return table(spark, sf_dir, "orders").select("o_orderkey", T.timestamp_or_raw(F.get(raw, (F.col("o_orderkey") % 4).cast("int"))).alias("ts"))
+
+
+CHUNKS_SQL = r"""chunked AS (
+  SELECT doc_id, k, flat[k * 25000 + 1 : k * 25000 + 25000] AS text FROM (SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS flat FROM documents WHERE text IS NOT NULL), range(0, 1000) AS r(k)
+  WHERE length(flat) >= 5 AND k * 25000 < length(flat))"""
+CHUNK_TAGS_SQL = "WITH " + CHUNKS_SQL + ", " + TAGS_SQL.strip().removeprefix("WITH ").replace("FROM documents", "FROM chunked").replace("SELECT doc_id, '", "SELECT doc_id, k, '").replace("SELECT doc_id, prop, kind, unnest", "SELECT doc_id, k, prop, kind, unnest").replace(
+    "2 * (kind * 1099511627776 + i) AS pos", "2 * (k * 8796093022208 + kind * 1099511627776 + i) AS pos"
+)
+
+
+def doc_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as texts, beside a table and a person with the same texts, which are not analysed."""
+    text = lambda prop: F.create_map(F.lit(prop), F.array("text"))
+    kinds = F.array(*[F.struct(F.lit(kind).alias("schema"), text(prop).alias("props"), F.lit(before).alias("before")) for kind, prop, before in (("PlainText", "bodyText", ""), ("Table", "indexText", "t"), ("Person", "summary", "p"))])
+    rows = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.explode(kinds).alias("k"))
+    return rows.select(F.concat("k.before", F.col("doc_id").cast("string")).alias("entity_id"), F.lit("").alias("fragment"), "k.schema", "k.props")
+
+
+@query(CHUNK_TAGS_SQL + ", keyed AS (SELECT doc_id, prop, lower(value) AS key, arg_min(value, pos) AS label FROM tags GROUP BY ALL) SELECT doc_id::VARCHAR AS entity_id, prop, label AS value, 'PlainText' AS schema FROM keyed")
+def analyzed_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole analysis of documents, chunk by chunk: each tag by its first value; tables and persons are left out."""
+    return analyze(doc_fragments(spark, sf_dir)).tags.select("entity_id", "prop", "value", "schema")
+
+
+def names_in(chunks: DataFrame) -> DataFrame:
+    """Stands for a model of names: two words of which the first begins with a capital, with a label and a confidence by length."""
+    found_ = chunks.select("entity_id", F.explode(F.regexp_extract_all("chunk", F.lit("[A-Z][a-z]+ [a-z]+"), F.lit(0))).alias("name"))
+    named = found_.select("entity_id", T.clean_name(F.col("name")).alias("value")).where("value is not null")
+    n = F.length("value")
+    return named.select("entity_id", F.when(n % 2 == 0, "peopleMentioned").otherwise("companiesMentioned").alias("prop"), "value", F.when(n % 11 == 0, "trash").otherwise("person").alias("label"), (F.lit(0.8) + (n % 7) * 0.03).alias("confidence"))
+
+
+MENTIONS_SQL = CHUNK_TAGS_SQL + """, countries AS (SELECT doc_id, string_agg(DISTINCT value, ',' ORDER BY value) AS countries FROM tags WHERE prop = 'detectedCountry' GROUP BY doc_id
+), named AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Z][a-z]+ [a-z]+')) AS value FROM chunked
+), grouped AS (
+  SELECT doc_id, CASE WHEN length(value) % 2 = 0 THEN 'peopleMentioned' ELSE 'companiesMentioned' END AS prop, lower(value) AS key, list_aggregate(list_sort(list(DISTINCT value)), 'string_agg', '|') AS names
+  FROM named WHERE length(value) BETWEEN 5 AND 100 GROUP BY ALL HAVING bool_and(length(value) % 11 <> 0 AND length(value) % 7 >= 2)
+), mentions AS (
+  SELECT sha1('mention' || chr(31) || doc_id || chr(31) || prop || chr(31) || key) AS id, doc_id::VARCHAR AS document, sha1(key) AS resolved, names, CASE prop WHEN 'peopleMentioned' THEN 'Person' ELSE 'Organization' END AS schema, coalesce(countries, '') AS countries
+  FROM grouped LEFT JOIN countries USING (doc_id))"""
+
+
+@query(MENTIONS_SQL + " SELECT * FROM mentions")
+def analyzed_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mentions of the names that a model gives: cleaned, grouped, doubtful groups dropped whole, with the countries of their document."""
+    out = analyze(doc_fragments(spark, sf_dir), names=names_in).mentions
+    return out.select("id", "document", "resolved", F.array_join("names", "|").alias("names"), F.col("detectedSchema").alias("schema"), F.array_join("contextCountry", ",").alias("countries"))
+
+
+@query(MENTIONS_SQL + " SELECT id FROM mentions UNION SELECT doc_id::VARCHAR FROM documents")
+def returned_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the analysis hands on: the ids that it was given, and those of the mentions."""
+    given = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("entity_id"))
+    return analyzed_ids(analyze(doc_fragments(spark, sf_dir), names=names_in), given).select(F.col("entity_id").alias("id"))
 
 
 @query()

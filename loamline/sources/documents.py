@@ -44,6 +44,7 @@ class Page(HTMLParser):
         self.unseen = 0
         self.behind = False
         self.in_title = False
+        self.lang: str | None = None
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "meta":
@@ -51,6 +52,8 @@ class Page(HTMLParser):
             for kind in ("property", "name"):
                 if own.get(kind) and collapse(own.get("content")):
                     self.meta.setdefault((kind, own[kind]), []).append(collapse(own["content"]))
+        if tag == "html" and self.lang is None:
+            self.lang = collapse(dict(attrs).get("lang"))
         if tag == "body" and self.unseen:
             self.unseen = 0  # an unclosed head ends here
         if tag == "title":

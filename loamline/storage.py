@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a temp folder only where that is unset."""
+    """``spark.checkpoint.dir``; unset, a temp folder in local mode, and an error on a cluster, whose executors would not see it."""
     set_to = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not set_to:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("Set spark.checkpoint.dir to a folder that the driver and all executors share")
         set_to = f"file://{tempfile.mkdtemp(prefix='loamline-')}"
         spark.conf.set("spark.checkpoint.dir", set_to)
     return set_to.rstrip("/")

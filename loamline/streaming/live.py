@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -17,10 +17,13 @@ LINKS = "collection string, entity_id string, reply_to string"
 STATE = "held string"
 
 
-def ingest_stream(spark: SparkSession, path: str, out: str, checkpoint: str, files_per_batch: int = 1000) -> StreamingQuery:
+def ingest_stream(
+    spark: SparkSession, path: str, out: str, checkpoint: str, files_per_batch: int = 1000, then: Callable[[DataFrame], DataFrame] | None = None, then_out: str | None = None
+) -> StreamingQuery:
     """Extracts files as they arrive below ``path`` and appends their fragments, partitioned by batch, to ``out``.
 
-    A batch that is run again after a failure overwrites its own partition, so each file's fragments are there once.
+    The next stage ``then`` (such as the tags of an analysis) goes on with the fragments of each batch, to ``then_out``.  A batch that is run again
+    after a failure overwrites its own partitions, so each file's fragments are there once.
     """
     fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     root = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(fs_path).toString().rstrip("/")
@@ -29,7 +32,10 @@ def ingest_stream(spark: SparkSession, path: str, out: str, checkpoint: str, fil
 
     def write(batch: DataFrame, number: int) -> None:
         files, folders = crawled(batch.select("path", "content"), root)
-        ingest_files(files).fragments.unionByName(folders).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        written = f"{out}/batch={number}"
+        ingest_files(files).fragments.unionByName(folders).write.mode("overwrite").parquet(written)
+        if then is not None:
+            then(batch.sparkSession.read.parquet(written)).write.mode("overwrite").parquet(f"{then_out}/batch={number}")
 
     return arriving.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
