@@ -7,6 +7,7 @@ import bz2
 import csv
 import gzip
 import io
+import re
 import sqlite3
 import struct
 import tarfile
@@ -310,3 +311,144 @@ BROKEN = (
 
 def broken_of(row: Row) -> bytes:
     return BROKEN[row["id"] % len(BROKEN)][1]
+
+
+def pdf_of(row: Row) -> bytes:
+    """A page for each text: in codes of a Latin font, or, every second page, in codes of a font's own with a map to Unicode."""
+    import zlib
+
+    objects: list[bytes] = [b"<</Type/Catalog/Pages 2 0 R>>", b"", b"<</Type/Font/Subtype/Type1/BaseFont/Helvetica/Encoding/WinAnsiEncoding>>", b"<</Type/Font/Subtype/Type0/BaseFont/Own/Encoding/Identity-H/ToUnicode 5 0 R>>"]
+    stream = lambda head, data: b"<<%s/Filter/FlateDecode/Length %d>>\nstream\n%s\nendstream" % (head, len(z := zlib.compress(data)), z)
+    objects.append(stream(b"", b"1 begincodespacerange <0000> <ffff> endcodespacerange 1 beginbfrange <0021> <00ff> <0020> endbfrange"))
+    kids = []
+    for k, text in enumerate(row["texts"]):
+        own = b"<" + b"".join(b"%04x" % (ord(c) + 1) for c in text) + b">" if k % 2 else b"(" + re.sub(r"([()\\])", r"\\\1", text).encode("cp1252") + b")"
+        font = b"/F2" if k % 2 else b"/F1"
+        content = b"q 1 0 0 1 10 20 cm BT %s 12 Tf 50 600 Td [(Second) -400 (line)] TJ ET Q BT /F1 12 Tf 14 TL 60 700 Td (Page) Tj 60 0 Td %s 12 Tf %s Tj ET" % (b"/F1", font, own)
+        objects.append(stream(b"", content))
+        objects.append(b"<</Type/Page/Parent 2 0 R/Contents %d 0 R/Resources<</Font<</F1 3 0 R/F2 4 0 R>>>>>>" % len(objects))
+        kids.append(b"%d 0 R" % len(objects))
+    objects[1] = b"<</Type/Pages/Count %d/Kids[%s]>>" % (len(kids), b" ".join(kids))
+    body = b"".join(b"%d 0 obj\n%s\nendobj\n" % (k, o) for k, o in enumerate(objects, 1))
+    return b"%PDF-1.5\n" + body + b"trailer\n<</Root 1 0 R/Size %d>>\n%%%%EOF" % (len(objects) + 1)
+
+
+def compound_of(streams: dict[str, bytes]) -> bytes:
+    """A compound file of ``streams``; those of less than 4096 bytes lie in its mini stream."""
+    folders: dict[str, int] = {"": 0}
+    nodes: list[list] = [["Root Entry", 5, "", b""]]
+    for path, content in streams.items():
+        *above, name = path.split("/")
+        at = ""
+        for part in above:
+            up, at = at, f"{at}{part}/"
+            if at not in folders:
+                folders[at] = len(nodes)
+                nodes.append([part, 1, up, b""])
+        nodes.append([name, 2, at, content])
+    mini = b"".join(n[3].ljust(-(-len(n[3]) // 64) * 64, b"\0") for n in nodes if n[1] == 2 and 0 < len(n[3]) < 4096)
+    end, free, fat_mark = 0xFFFFFFFE, 0xFFFFFFFF, 0xFFFFFFFD
+    sectors: list[bytes] = []
+    fat: list[int] = []
+
+    def put(raw: bytes) -> int:
+        if not raw:
+            return end
+        first, n = len(sectors), -(-len(raw) // 512)
+        for k in range(n):
+            sectors.append(raw[512 * k : 512 * k + 512].ljust(512, b"\0"))
+            fat.append(first + k + 1 if k < n - 1 else end)
+        return first
+
+    mini_fat, place = [], 0
+    starts = []
+    for _, kind, _, content in nodes:
+        if kind == 2 and 0 < len(content) < 4096:
+            n = -(-len(content) // 64)
+            starts.append(place)
+            mini_fat += [place + k + 1 if k < n - 1 else end for k in range(n)]
+            place += n
+        else:
+            starts.append(put(content) if kind == 2 else 0)
+    starts[0] = put(mini)
+    entries = b""
+    for k, (name, kind, at, content) in enumerate(nodes):
+        own = f"{at}{name}/" if kind == 1 else ""
+        kids = [j for j, n in enumerate(nodes) if j and n[2] == own] if kind != 2 else []
+        siblings = [j for j, n in enumerate(nodes) if j and n[2] == at] if k else []
+        right = siblings[siblings.index(k) + 1] if k and siblings.index(k) + 1 < len(siblings) else free
+        raw_name = name.encode("utf-16-le") + b"\0\0"
+        size = len(mini) if not k else len(content)
+        entries += raw_name.ljust(64, b"\0") + struct.pack("<HBBIII", len(raw_name), kind, 1, free, right, kids[0] if kids else free) + bytes(36) + struct.pack("<IQ", starts[k], size)
+    entries += (bytes(68) + struct.pack("<III", free, free, free) + bytes(48)) * (-(len(entries) // 128) % 4)
+    first_dir = put(entries)
+    raw_mini_fat = struct.pack(f"<{len(mini_fat)}I", *mini_fat)
+    first_mini = put(raw_mini_fat + b"\xff" * (-len(raw_mini_fat) % 512))
+    n_fat = 1
+    while n_fat * 128 < len(fat) + n_fat:
+        n_fat += 1
+    at = [len(sectors) + k for k in range(n_fat)]
+    table = [*fat, *[fat_mark] * n_fat]
+    table += [free] * (n_fat * 128 - len(table))
+    head = bytes.fromhex("D0CF11E0A1B11AE1") + bytes(16) + struct.pack("<HHHHH", 0x3E, 3, 0xFFFE, 9, 6) + bytes(6) + struct.pack("<II", 0, n_fat)
+    head += struct.pack("<IIIIIII", first_dir, 0, 4096, first_mini, -(-len(raw_mini_fat) // 512), end, 0) + struct.pack("<109I", *at, *[free] * (109 - n_fat))
+    return head + b"".join(sectors) + struct.pack(f"<{len(table)}I", *table)
+
+
+def summary_of(title: str, author: str) -> bytes:
+    """A property set: code page, title, author and a day of creation."""
+    day = struct.pack("<Q", 132_224_078_450_000_000)  # 2020-01-02T03:04:05
+    text = lambda s: struct.pack("<II", 30, len(s.encode()) + 1) + s.encode() + b"\0" * (4 - len(s.encode()) % 4)
+    values = [(1, struct.pack("<IHH", 2, 65001, 0)), (2, text(title)), (4, text(author)), (12, struct.pack("<I", 64) + day)]
+    places, body = b"", b""
+    for number, raw in values:
+        places += struct.pack("<II", number, 8 + 8 * len(values) + len(body))
+        body += raw
+    section = struct.pack("<II", 8 + len(places) + len(body), len(values)) + places + body
+    return struct.pack("<HHI", 0xFFFE, 0, 2) + bytes(16) + struct.pack("<I", 1) + bytes(16) + struct.pack("<I", 48) + section
+
+
+def xls_of(row: Row) -> bytes:
+    """A sheet of rows: a number, a text of the string table, a short number, a day, and an empty day."""
+    record = lambda kind, body: struct.pack("<HH", kind, len(body)) + body
+    texts = [r["name"] for r in row["rows"]]
+    table = struct.pack("<II", len(texts), len(texts)) + b"".join(struct.pack("<HB", len(t), k % 2) + t.encode("utf-16-le" if k % 2 else "latin-1") for k, t in enumerate(texts))
+    parts = [table[k : k + 8000] for k in range(0, len(table), 8000)] if len(table) <= 8000 else None
+    if parts is None:  # cut between texts
+        parts, held = [], struct.pack("<II", len(texts), len(texts))
+        for k, t in enumerate(texts):
+            own = struct.pack("<HB", len(t), k % 2) + t.encode("utf-16-le" if k % 2 else "latin-1")
+            if len(held) + len(own) > 8000:
+                parts, held = [*parts, held], b""
+            held += own
+        parts.append(held)
+    cells = b""
+    for k, r in enumerate(row["rows"]):
+        at = lambda c, style=0: struct.pack("<HHH", k, c, style)  # noqa: B023, E731
+        cells += record(0x203, at(0) + struct.pack("<d", r["id"])) + record(0xFD, at(1) + struct.pack("<I", k)) + record(0x27E, at(2) + struct.pack("<I", (r["id"] % 1000) << 2 | 3))
+        cells += record(0x203, at(3, 1) + struct.pack("<d", 43831.5 + r["id"] % 300)) + record(0x203, at(4, 1) + struct.pack("<d", 0.0))
+    style = lambda number: record(0xE0, struct.pack("<HH", 0, number) + bytes(16))
+    front = record(0x809, bytes(16)) + style(0) + style(14)
+    strings = record(0xFC, parts[0]) + b"".join(record(0x3C, p) for p in parts[1:])
+    named = lambda at: record(0x85, struct.pack("<IBBBB", at, 0, 0, 5, 0) + b"Sheet")
+    start = len(front) + len(named(0)) + len(strings) + 4
+    book = front + named(start) + strings + record(0x0A, b"") + record(0x809, bytes(16)) + cells + record(0x0A, b"")
+    return compound_of({"Workbook": book, "\x05SummaryInformation": summary_of(f"Book {row['key']}", f"nation {row['key']}")})
+
+
+def msg_of(row: Row) -> bytes:
+    """An Outlook message with a sender, two recipients, rich text and an attachment."""
+    wide = lambda s: s.encode("utf-16-le")
+    field = lambda number, kind="001F": f"__substg1.0_{number}{kind}"
+    number = lambda tag, value: struct.pack("<HHI", 0x40, tag, 6) + struct.pack("<Q", value)
+    name = f"{row['conv_id']}:{row['turn']}"
+    rich = b"{\\rtf1 " + name.encode() + b"}"
+    streams = {
+        "__properties_version1.0": bytes(32) + number(0x0039, 132_224_078_450_000_000), field("0037"): wide(name), field("1000"): wide(row["text"]), field("1035"): wide(f"<turn-{row['turn']}@mail.example>"),
+        field("0C1A"): wide(f"{row['role']} of the talk"), field("5D01"): wide(f"{row['role']}@example.org"), field("0070"): wide(f"talk {row['conv_id']}"), field("1009", "0102"): struct.pack("<IIII", len(rich) + 12, len(rich), 0x414C454D, 0) + rich,
+    }
+    for k, (who, kind) in enumerate((("Team One", 1), ("Team Two", 2))):
+        at = f"__recip_version1.0_#{k:08X}/"
+        streams |= {at + "__properties_version1.0": bytes(8) + number(0x0C15, kind), at + field("3001"): wide(who), at + field("39FE"): wide(f"team{k}@example.org")}
+    at = "__attach_version1.0_#00000000/"
+    return compound_of(streams | {at + field("3707"): wide(f"note-{row['conv_id']}-{row['turn']}.txt"), at + field("3701", "0102"): f"note of {row['role']}".encode()})

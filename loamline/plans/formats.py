@@ -388,3 +388,31 @@ def file_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.concat(F.col("c_custkey").cast("string"), F.get(endings, (F.col("c_custkey") % len(M.BROKEN)).cast("int")))
     files = M.made(table(spark, sf_dir, "customer").select(name.alias("key"), F.col("c_custkey").alias("id")), M.broken_of)
     return entities(files).select(key().cast("long").alias("id"), p("processingStatus").alias("status"), p("processingError").alias("error"), p("fileSize").alias("size"))
+
+
+@query("""SELECT r_name AS key, (row_number() OVER (PARTITION BY r_name ORDER BY n_name))::INTEGER AS page, 'Page ' || n_name || chr(10) || 'Second line' AS text, '' AS title, '' AS author, '' AS summary FROM nation JOIN region ON n_regionkey = r_regionkey""")
+def pdf_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of PDF files, in fonts of a known encoding and of one of their own."""
+    return pages_of(entities(M.made(nation_texts(spark, sf_dir), M.pdf_of, ".pdf")))
+
+
+@query(f"""SELECT c_nationkey::VARCHAR AS key, 'Sheet' AS title, (count(*) + 1)::VARCHAR AS "rowCount", 'nation ' || c_nationkey AS author, '2020-01-02T03:04:05' AS "authoredAt",
+  sha1(string_agg('"' || k || '.0","' || c_name || '","' || (k % 1000 / 100.0::DOUBLE)::VARCHAR || '","' || {DAY} || '",""' || chr(10), '' ORDER BY k)) AS "csvHash" FROM (SELECT *, c_custkey AS k FROM customer) GROUP BY c_nationkey""")
+def xls_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Workbooks of the older Excel: cells of each kind, days, and the metadata of the file on its sheets."""
+    out = tables_in(entities(M.made(customers(spark, sf_dir), M.xls_of, ".xls"))).where(p("csvHash") != "")
+    return out.select("key", *[p(c).alias(c) for c in ("title", "rowCount", "author", "authoredAt", "csvHash")])
+
+
+@query(f"""SELECT conv_id || ':' || turn AS subject, 'turn-' || turn || '@mail.example' AS message_id, role || ' of the talk <' || role || '@example.org>' AS sender, sha1(role || '@example.org') AS emitters, '2020-01-02T03:04:05' AS date, sha1(text) AS digest,
+  'talk ' || conv_id AS topic, 'Team One <team0@example.org>' AS "to", 'Team Two <team1@example.org>' AS cc, 'note-' || conv_id || '-' || turn || '.txt' AS attachment, 'note of ' || role AS note FROM {TURNS}""")
+def outlook_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outlook messages: fields, recipients by their kind, rich text and attachments as files."""
+    rows = turns(spark, sf_dir).select(F.concat_ws("-", "conv_id", "turn").alias("key"), "conv_id", "turn", "role", "text")
+    every = entities(M.made(rows, M.msg_of, ".msg"))
+    notes = every.where("schema = 'PlainText'").select(p("parent").alias("entity_id"), p("fileName").alias("attachment"), p("bodyText").alias("note"))
+    mail = every.where("schema = 'Email'").select(
+        "entity_id", p("subject").alias("subject"), p("messageId").alias("message_id"), p("sender").alias("sender"), p("emitters").alias("emitters"), p("date").alias("date"), F.sha1(p("bodyText").cast("binary")).alias("digest"),
+        p("threadTopic").alias("topic"), p("to").alias("to"), p("cc").alias("cc"),
+    )
+    return mail.join(notes, "entity_id").drop("entity_id")

@@ -3,35 +3,34 @@
 from __future__ import annotations
 
 import hashlib
-import re
 import time
 from collections.abc import Iterator
 from dataclasses import dataclass
-from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loamline import registry
 from loamline.functions import text as T
 from loamline.model import SEPARATOR, entity_id, make_id
 from loamline.operators.relational import auction
-from loamline.registry import BY_NAME
-from loamline.sources import documents, mail, packages, tables
-from loamline.sources.base import ENCRYPTED, NOT_SUPPORTED, Extract, Failed, File, Result, collapse
+from loamline.registry import Extractor
+from loamline.sources import documents, mail, ole, packages, pdf, tables
+from loamline.sources.base import ENCRYPTED, NOT_SUPPORTED, Child, Extract, Failed, File, Result, collapse
+from loamline.sources.programs import PROGRAMS
 from loamline.storage import materialize
 
 FILE = "entity_id string, schema string, file_name string, mime string, content binary, parent string, ancestors array<string>"
 ROW = "kind string, entity_id string, fragment string, schema string, props map<string,array<string>>, file_name string, mime string, content binary, parent string, ancestors array<string>, extractor string, status string, file_size long, seconds double"
 AGENT = "loamline"
-ROUNDS = 10
 
-#: What each available extractor does; a new one needs an entry here and one in the registry.
+#: What each extractor does; :func:`register` adds one.
 EXTRACT: dict[str, Extract] = {
     "ignore": lambda file: Result(), "html": documents.html, "xml": documents.xml, "plain": documents.plain, "opendoc": tables.opendoc, "ooxml": tables.ooxml,
     "zip": packages.unzip, "tar": packages.untar, "gz": packages.gunzip, "bz2": packages.bunzip2, "olm": mail.olm, "opfmsg": mail.opf_message, "msg": mail.rfc822, "emlx": mail.emlx,
     "vcard": documents.vcard, "calendar": documents.calendar, "csv": tables.csv_file, "sqlite": tables.sqlite, "xlsx": tables.xlsx, "ods": tables.ods, "mbox": mail.mbox, "dbf": tables.dbf,
-    "svg": documents.svg, "json": documents.json_file,
+    "svg": documents.svg, "json": documents.json_file, "pdf": pdf.pdf, "olemsg": ole.outlook_message, "xls": ole.xls, **PROGRAMS,
 }
 
 
@@ -46,9 +45,10 @@ def crawl(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     root = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(fs_path).toString().rstrip("/")
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
-    # The scan leaves out files of no bytes; the listing that it is planned from has them.
-    listed = [(unquote(re.sub(r"^(\w+):///", r"\1:/", f)),) for f in found.inputFiles()]
-    empty = spark.createDataFrame(listed, "path string").join(found.select("path"), "path", "left_anti").withColumn("content", F.lit(b""))
+    # The scan leaves out files of no bytes; the listing that it is planned from, which the driver holds as for any scan, has them.
+    listed = spark.createDataFrame(((f,) for f in found.inputFiles()), "value string")
+    names = F.url_decode(F.replace(F.regexp_replace("value", r"^(\w+):///", "$1:/"), F.lit("+"), F.lit("%2B")))
+    empty = listed.select(names.alias("path")).join(found.select("path"), "path", "left_anti").withColumn("content", F.lit(b""))
     return crawled(found.unionByName(empty), root)
 
 
@@ -72,41 +72,71 @@ def crawled(found: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
     return files, folders.dropDuplicates(["entity_id"])
 
 
-def run_one(extractor: str | None, file: File, mime: str | None) -> tuple[Result, str, str | None]:
-    """Result, status and error of one file.  No file makes the task fail."""
-    try:
-        if mime == "application/encrypted":
-            raise Failed(ENCRYPTED)
-        if extractor is None:
-            raise Failed(NOT_SUPPORTED)
-        if not BY_NAME[extractor].available:
-            raise Failed(f"The extractor for this format is unavailable: {extractor}")
-        return EXTRACT[extractor](file), "success", None
-    except Failed as error:
-        return Result(), "failure", str(error)
-    except Exception as error:  # noqa: BLE001  an unknown error is this file's failure alone
-        return Result(), "failure", f"{type(error).__name__}: {error}"
-
-
-def extract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Files with their extractor to rows of fragments and of files inside."""
-    names = [c.split()[0] for c in ROW.split(", ")]
-    types = [pa.string()] * 4 + [pa.map_(pa.string(), pa.list_(pa.string()))] + [pa.string()] * 2 + [pa.binary(), pa.string(), pa.list_(pa.string()), pa.string(), pa.string(), pa.int64(), pa.float64()]
-    schema = pa.schema(list(zip(names, types, strict=True)))
-    for batch in batches:
-        for k in range(batch.num_rows):
-            row = {n: batch.column(i)[k].as_py() for i, n in enumerate(batch.schema.names)}
-            out = [dict.fromkeys(names) | r for r in rows_of(row)]
-            for start in range(0, len(out), 1000):  # a file of many rows does not make one batch
-                yield pa.RecordBatch.from_pylist(out[start : start + 1000], schema)
-
-
-def rows_of(row: dict) -> Iterator[dict]:
+def register(extractor: Extractor, extract: Extract, family: tuple[str, int] | None = None) -> None:
+    """Adds a format: its bid, and the function that extracts it.  One of a name that is known takes its place.
+
+    ``family``: the start of media types, such as ``image/``, and what is bid for any other file of those.  The function goes to the tasks with
+    the plan, so it need not be installed on the executors.
+    """
+    registry.add(extractor, family)
+    EXTRACT[extractor.name] = extract
+
+
+def run_one(extract: dict[str, Extract], extractor: str | None, file: File, mime: str | None) -> Result:
+    """Result of one file; what it streams is still to come."""
+    if mime == "application/encrypted":
+        raise Failed(ENCRYPTED)
+    if extractor is None:
+        raise Failed(NOT_SUPPORTED)
+    if extractor not in extract:
+        raise Failed(f"The extractor for this format is unavailable: {extractor}")
+    return extract[extractor](file)
+
+
+#: Rows, and bytes of files inside, that make a batch.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+
+
+def extracting(extract: dict[str, Extract]):
+    """A mapInArrow function: files with their extractor to rows of fragments and of files inside, written as they are found."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [c.split()[0] for c in ROW.split(", ")]
+        types = [pa.string()] * 4 + [pa.map_(pa.string(), pa.list_(pa.string()))] + [pa.string()] * 2 + [pa.binary(), pa.string(), pa.list_(pa.string()), pa.string(), pa.string(), pa.int64(), pa.float64()]
+        schema = pa.schema(list(zip(names, types, strict=True)))
+        none = dict.fromkeys(names)
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = {n: batch.column(i)[k].as_py() for i, n in enumerate(batch.schema.names)}
+                held, size = [], 0
+                for r in rows_of(extract, row):
+                    held.append(none | r)
+                    size += len(r.get("content") or b"")
+                    if len(held) >= BATCH_ROWS or size >= BATCH_BYTES:
+                        yield pa.RecordBatch.from_pylist(held, schema)
+                        held, size = [], 0
+                yield pa.RecordBatch.from_pylist(held, schema)
+
+    return run
+
+
+def rows_of(extract: dict[str, Extract], row: dict) -> Iterator[dict]:
+    """What one file gives, and last its own row with the status.  No file makes the task fail."""
     content = row["content"] or b""
     above = tuple(row["ancestors"] or ())
     file = File(row["entity_id"], row["file_name"], content, row["mime"], above)
     began = time.monotonic()
-    result, status, error = run_one(row["extractor"], file, row["mime"])
+    result, status, error = Result(), "success", None
+    try:
+        result = run_one(extract, row["extractor"], file, row["mime"])
+        for x in (*result.fragments, *result.children):
+            yield row_of(file, x)
+        for x in result.stream:
+            yield row_of(file, x)
+    except Failed as failed:
+        status, error = "failure", str(failed)
+    except Exception as unknown:  # noqa: BLE001  an unknown error is this file's failure alone
+        status, error = "failure", f"{type(unknown).__name__}: {unknown}"
     schema = result.schema or row["schema"]
     props = {k: v for k, v in result.props.items() if v}
     base = {
@@ -118,46 +148,43 @@ def rows_of(row: dict) -> Iterator[dict]:
         "kind": "fragment", "entity_id": file.entity_id, "fragment": "", "schema": schema, "props": list(props.items()), "extractor": row["extractor"], "status": status, "file_size": len(content),
         "seconds": time.monotonic() - began,
     }
-    for entity, fragment, kind, own in result.fragments:
-        yield {"kind": "fragment", "entity_id": entity, "fragment": fragment, "schema": kind, "props": list(own.items())}
-    for c in result.children:
-        parent = c.parent or file.entity_id
-        lineage = list(c.ancestors) or [*above, file.entity_id]
-        name = collapse(c.name)
-        yield {
-            "kind": "child", "entity_id": c.entity_id or make_id(name, hashlib.sha1(c.content).hexdigest()), "schema": c.schema, "file_name": name, "mime": c.mime, "content": c.content, "parent": parent,
-            "ancestors": lineage,
-        }
-
-
-def ingest_files(files: DataFrame, rounds: int = ROUNDS) -> Ingested:
-    """Extracts files (``FILE``) and what is inside them.
-
-    Each round is written once, so nothing is extracted twice.  Files nested deeper than ``rounds`` become failed entities.
+
+
+def row_of(file: File, x: Child | tuple) -> dict:
+    if not isinstance(x, Child):
+        entity, fragment, kind, own = x
+        return {"kind": "fragment", "entity_id": entity, "fragment": fragment, "schema": kind, "props": list(own.items())}
+    name = collapse(x.name)
+    return {
+        "kind": "child", "entity_id": x.entity_id or make_id(name, hashlib.sha1(x.content).hexdigest()), "schema": x.schema, "file_name": name, "mime": x.mime, "content": x.content,
+        "parent": x.parent or file.entity_id, "ancestors": list(x.ancestors) or [*file.ancestors, file.entity_id],
+    }
+
+
+def ingest_files(files: DataFrame) -> Ingested:
+    """Extracts files (``FILE``), what is inside them, and so on until there is nothing inside.
+
+    Each round is written once, so nothing is extracted twice.
     """
     fragments, runs, todo = [], [], files
-    for _ in range(rounds):
+    extract = extracting(dict(EXTRACT))
+    while not fragments or not todo.isEmpty():
         sized = todo.withColumn("file_size", F.coalesce(F.octet_length("content"), F.lit(0)).cast("long")).withColumn("sniffed", T.sniff(F.col("content")))
         sized = sized.withColumn("mime", F.coalesce("mime", "sniffed"))
         routed = auction(sized).select("entity_id", "schema", "file_name", "mime", "content", "parent", "ancestors", "extractor")
-        done = materialize(routed.mapInArrow(extract_batches, ROW), "extracted")
+        done = materialize(routed.mapInArrow(extract, ROW), "extracted")
         fragments.append(done.where("kind = 'fragment'").select("entity_id", "fragment", "schema", "props"))
         runs.append(done.where("status is not null").select("entity_id", "extractor", "status", "file_size", "seconds"))
-        todo = done.where("kind = 'child'").select("entity_id", "schema", "file_name", "mime", "content", "parent", "ancestors").dropDuplicates(["entity_id", "parent"])
-        if todo.isEmpty():
-            break
-    else:
-        error = F.create_map(F.lit("processingStatus"), F.array(F.lit("failure")), F.lit("processingError"), F.array(F.lit("Nested too deep")))
-        fragments.append(todo.select("entity_id", F.lit("").alias("fragment"), "schema", error.alias("props")))
+        todo = done.where("kind = 'child'").select("entity_id", "schema", "file_name", "mime", "content", "parent", "ancestors")
+        todo = todo.where(~F.array_contains("ancestors", F.col("entity_id"))).dropDuplicates(["entity_id", "parent"])  # a file inside itself is there already
     every, all_runs = fragments[0], runs[0]
-    for f, r in zip(fragments[1:], [*runs[1:], None], strict=False):
-        every = every.unionByName(f)
-        all_runs = all_runs.unionByName(r) if r is not None else all_runs
+    for f, r in zip(fragments[1:], runs[1:], strict=True):
+        every, all_runs = every.unionByName(f), all_runs.unionByName(r)
     return Ingested(every, all_runs)
 
 
-def ingest(spark: SparkSession, path: str, rounds: int = ROUNDS) -> Ingested:
+def ingest(spark: SparkSession, path: str) -> Ingested:
     """All files below ``path``."""
     files, folders = crawl(spark, path)
-    out = ingest_files(files, rounds)
+    out = ingest_files(files)
     return Ingested(out.fragments.unionByName(folders), out.runs)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 from loamline.model import make_id
@@ -57,6 +57,14 @@ class Result:
     #: Other entities and fragments: (entity id, fragment, schema, properties).
     fragments: list[tuple[str, str, str, dict[str, list[str]]]] = field(default_factory=list)
     children: list[Child] = field(default_factory=list)
+    #: What comes out one by one, if a file holds more than fits at once: children, and fragments as above.  It may still fail on the way.
+    stream: Iterator[Child | tuple[str, str, str, dict[str, list[str]]]] = field(default_factory=lambda: iter(()))
+
+    def everything(self) -> Result:
+        """With what was streamed in its lists."""
+        for x in self.stream:
+            (self.children if isinstance(x, Child) else self.fragments).append(x)
+        return self
 
     def add(self, prop: str, *values: object) -> None:
         for v in values:

@@ -9,6 +9,7 @@ import os
 import re
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from email.errors import MessageError
 from email.message import EmailMessage
 from email.policy import default
@@ -125,10 +126,14 @@ def message_into(out: Result, msg: EmailMessage) -> None:
                 out.add("bodyHtml", as_html(text))
 
 
+def parsed(raw: bytes) -> EmailMessage:
+    return email.message_from_bytes(raw, policy=default)
+
+
 def rfc822(file: File) -> Result:
     out = Result("Email")
     try:
-        message_into(out, email.message_from_bytes(file.content, policy=default))
+        message_into(out, parsed(file.content))
     except (MessageError, ValueError, IndexError, LookupError) as error:
         raise Failed(f"Cannot parse email: {error}") from error
     return out
@@ -143,17 +148,19 @@ def emlx(file: File) -> Result:
 
 
 def mbox(file: File) -> Result:
-    out = Result("Package")
+
+    def messages() -> Iterator[Child]:
+        with tempfile.TemporaryDirectory() as folder:  # of this one call
+            path = os.path.join(folder, "mbox")
+            with open(path, "wb") as f:
+                f.write(file.content)
+            box = mailbox.mbox(path, create=False)
+            for key in box.keys():
+                yield Child(None, box.get_bytes(key), "message/rfc822", schema="Email")
+            box.close()
+
+    out = Result("Package", stream=messages())
     out.add("mimeType", "application/mbox")
-    with tempfile.TemporaryDirectory() as folder:  # of this one call
-        path = os.path.join(folder, "mbox")
-        with open(path, "wb") as f:
-            f.write(file.content)
-        box = mailbox.mbox(path, create=False)
-        for key in box.keys():
-            raw = box.get_bytes(key)
-            out.children.append(Child(None, raw, "message/rfc822", schema="Email"))
-        box.close()
     return out
 
 

@@ -113,7 +113,7 @@ def test_mail_headers_and_attachments():
 def test_emlx_and_mbox():
     raw = eml("Body")
     assert mail.emlx(file(str(len(raw)).encode() + b"\n" + raw + b"<plist/>")).props["bodyText"] == ["Body"]
-    out = mail.mbox(file(b"From - Thu Jan 2 2020\n" + raw + b"\n\nFrom - Thu Jan 2 2020\n" + raw + b"\n"))
+    out = mail.mbox(file(b"From - Thu Jan 2 2020\n" + raw + b"\n\nFrom - Thu Jan 2 2020\n" + raw + b"\n")).everything()
     assert len(out.children) == 2 and out.schema == "Package"
 
 
@@ -194,8 +194,8 @@ def test_archives_keep_paths_inside():
         t.addfile(link)
     for out in (packages.untar(file(raw.getvalue())), packages.gunzip(file(raw.getvalue(), "x.tgz"))):
         assert [c.name for c in out.children] == ["a.txt"] and [f[3]["fileName"] for f in out.fragments] == [["dir"]]
-    assert [(c.name, c.content) for c in packages.gunzip(file(gzip.compress(b"hi"), "x.txt.gz")).children] == [("x.txt", b"hi")]
-    assert [(c.name, c.content) for c in packages.bunzip2(file(bz2.compress(b"hi"), "x.bz2")).children] == [("x", b"hi")]
+    assert [(c.name, c.content) for c in packages.gunzip(file(gzip.compress(b"hi"), "x.txt.gz")).everything().children] == [("x.txt", b"hi")]
+    assert [(c.name, c.content) for c in packages.bunzip2(file(bz2.compress(b"hi"), "x.bz2")).everything().children] == [("x", b"hi")]
     with pytest.raises(Failed):
         packages.unzip(file("no zip"))
     assert inside("a/../b") and not inside("a/../../b") and not inside("/a") and not inside("C:\\a")
