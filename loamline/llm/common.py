@@ -41,7 +41,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = hadoop_path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes what :func:`materialize` wrote of ``tables``, which nothing reads any more."""
+    for t in tables:
+        path = t.__dict__.pop("_written_to", None)
+        if path is not None:
+            path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def id_crc(doc_id: Column) -> Column:

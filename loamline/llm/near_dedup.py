@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loamline.llm.common import fresh, materialize, quoted
+from loamline.llm.common import fresh, materialize, quoted, release
 
 SHINGLE, PERMUTATIONS, BANDS, SMALL = 4, 64, 32, 8
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -192,11 +192,16 @@ def components(edges: DataFrame) -> DataFrame:
     live = materialize(one_way.unionByName(one_way.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
     labels = None
     while labels is None or live.limit(1).count():
-        trees = hooked(live)
-        labels = trees if labels is None else materialize(jumped(labels, trees).select("k", "root"), "labels")
+        trees, before = hooked(live), labels
+        labels = trees if before is None else materialize(jumped(before, trees).select("k", "root"), "labels")
         from_root, to_root = (trees.select(F.col("k").alias(c), F.col("root").alias(f"{c}_root")) for c in "ab")
         between = live.join(from_root, "a").join(to_root, "b").where("a_root <> b_root")
-        live = materialize(between.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).distinct(), "links")
+        between = materialize(between.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).distinct(), "links")
+        if before is not None:
+            release(before, trees)
+        release(live)
+        live = between
+    release(live)
     return labels
 
 
@@ -206,11 +211,19 @@ def hooked(links: DataFrame) -> DataFrame:
     above = least.select(F.col("k").alias("at"), F.col("up").alias("next"))
     first = F.when(F.col("next") == F.col("k"), F.least("k", "up")).otherwise(F.least("up", "next"))
     trees = materialize(least.join(above, F.col("up") == F.col("at")).select("k", first.alias("root")), "trees")
+    release(least)
     while True:
         found = materialize(jumped(trees, trees), "trees")
-        trees = found.select("k", "root")
+        release(trees)
         if found.where("root <> was").limit(1).count() == 0:
-            return trees
+            return kept(found.select("k", "root"), found)
+        trees = kept(found.select("k", "root"), found)
+
+
+def kept(view: DataFrame, table: DataFrame) -> DataFrame:
+    """``view``, to be released in the place of the table that it reads."""
+    view._written_to = table.__dict__.pop("_written_to")
+    return view
 
 
 def jumped(labels: DataFrame, trees: DataFrame) -> DataFrame:
@@ -243,8 +256,11 @@ def link_classes(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFra
     )
     tried = materialize(sized(small.unionByName(large), percent).distinct(), "tried")
     reps = classes.select("k", "rep")
-    linked = materialize(confirmed(tried, reps, source, percent), "confirmed")
-    return signed, reps, across(members, linked, reps, source, percent)
+    linked = confirmed(tried, reps, source, percent)
+    release(tried)
+    linked = across(members, linked, reps, source, percent)
+    release(members)
+    return signed, reps, linked
 
 
 def sized(pairs: DataFrame, percent: int) -> DataFrame:
@@ -274,9 +290,12 @@ def across(members: DataFrame, linked: DataFrame, reps: DataFrame, source: DataF
     both = own.join(sets.select(F.col("k").alias("centre"), F.col("shingles").alias("middle")), "centre").select("centre", "k", "n", "own", "middle")
     weight = (100 + percent) * F.size("tokens") - (100 - percent) * F.col("n")
     diffs = materialize(both.mapInArrow(differences, "centre binary, k binary, n long, tokens array<long>").withColumn("w", weight.cast("long")), "differences")
+    release(sets, labelled)
     low = materialize(diffs.groupBy("centre").agg(F.min(F.struct("w", "k", "n")).alias("low")), "lowest")
     star = diffs.join(low, "centre").where(F.col("k") != F.col("low.k")).select(F.col("k").alias("x"), F.col("n").alias("xn"), F.col("low.k").alias("y"), F.col("low.n").alias("yn"))
-    linked = materialize(linked.unionByName(confirmed(ordered(star, percent), reps, source, percent)), "linked")
+    stars = confirmed(ordered(star, percent), reps, source, percent)
+    linked = materialize(linked.unionByName(stars), "linked")
+    release(stars)
     # Whose component is not that of the set of least W is minor; only pairs with a minor are open.
     rooted = with_roots(diffs, linked)
     main = rooted.join(low, "centre").where(F.col("k") == F.col("low.k")).select("centre", F.col("root").alias("main"), F.col("low.w").alias("low_w"))
@@ -300,7 +319,11 @@ def across(members: DataFrame, linked: DataFrame, reps: DataFrame, source: DataF
     y = prefix.where("narrow").select("centre", "token", "minor", *named("y"))
     fits = (F.col("xw") + F.col("yw") <= F.col("xroom")) & (F.col("xw") + F.col("yw") <= F.col("yroom"))
     pairs = x.join(y, ["centre", "token"]).where((F.col("xr") != F.col("yr")) & (~F.col("minor") | (F.col("x_narrow") & (F.col("x") < F.col("y")))) & fits)
-    return linked.unionByName(confirmed(ordered(pairs, percent), reps, source, percent))
+    pairs = ordered(pairs, percent)
+    release(groups, diffs, low, tokens, prefix)
+    rest = confirmed(pairs, reps, source, percent)
+    release(pairs)
+    return linked.unionByName(rest)
 
 
 def differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,7 +362,9 @@ def confirmed(pairs: DataFrame, reps: DataFrame, source: DataFrame, percent: int
     sets = sets_of(pairs.select(F.col("a").alias("k")).union(pairs.select(F.col("b").alias("k"))).distinct(), reps, source)
     left = sets.select(F.col("k").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("k").alias("b"), F.col("shingles").alias("right"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInArrow(confirm(percent), "a binary, b binary")
+    found = materialize(pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInArrow(confirm(percent), "a binary, b binary"), "confirmed")
+    release(sets)
+    return found
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
