@@ -18,12 +18,13 @@ STATE = "held string"
 
 
 def ingest_stream(
-    spark: SparkSession, path: str, out: str, checkpoint: str, files_per_batch: int = 1000, then: Callable[[DataFrame], DataFrame] | None = None, then_out: str | None = None
+    spark: SparkSession, path: str, out: str, checkpoint: str, files_per_batch: int = 1000, then: Callable[[DataFrame], DataFrame] | None = None, then_out: str | None = None, once: bool = True
 ) -> StreamingQuery:
     """Extracts files as they arrive below ``path`` and appends their fragments, partitioned by batch, to ``out``.
 
     The next stage ``then`` (such as the tags of an analysis) goes on with the fragments of each batch, to ``then_out``.  A batch that is run again
-    after a failure overwrites its own partitions, so each file's fragments are there once.
+    after a failure overwrites its own partitions, so each file's fragments are there once.  The stream ends when all that is there has been
+    processed, unless ``once`` is false.
     """
     fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     root = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(fs_path).toString().rstrip("/")
@@ -37,7 +38,7 @@ def ingest_stream(
         if then is not None:
             then(batch.sparkSession.read.parquet(written)).write.mode("overwrite").parquet(f"{then_out}/batch={number}")
 
-    return arriving.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return arriving.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**({"availableNow": True} if once else {"processingTime": "5 seconds"})).start()
 
 
 def link_replies(key: tuple[str, str], rows: Iterator[pd.DataFrame], state: GroupState, keep_ms: int) -> Iterator[pd.DataFrame]:
