@@ -165,6 +165,7 @@ def sniff(content: Column) -> Column:
     for sign, mime in signs:
         out = out.when(head.startswith(sign), F.lit(mime))
     out = out.when(F.substring(head, 515, 10) == "7573746172", F.lit("application/x-tar"))
-    for start, mime in (("<!doctype html", "text/html"), ("<html", "text/html"), ("<svg", "image/svg+xml"), ("<?xml", "text/xml"), ("begin:vcard", "text/vcard"), ("begin:vcalendar", "text/calendar"), ("from ", "application/mbox"), ("return-path:", "message/rfc822"), ("received:", "message/rfc822"), ("message-id:", "message/rfc822")):
+    for start, mime in (("<!doctype html", "text/html"), ("<html", "text/html"), ("<svg", "image/svg+xml"), ("<?xml", "text/xml"), ("begin:vcard", "text/vcard"), ("begin:vcalendar", "text/calendar"), ("return-path:", "message/rfc822"), ("received:", "message/rfc822"), ("message-id:", "message/rfc822")):
         out = out.when(text_at.startswith(start), F.lit(mime))
+    out = out.when(shown.rlike(r"^From \S+ [^\n]*\d{4}[^\n]*\n"), F.lit("application/mbox"))
     return out.when(~shown.contains("\x00"), F.lit("text/plain"))
