@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 from loamline.functions import text as T
 from loamline.model import entity_id, is_a
 from loamline.registry import EXTRACTORS, FAMILY_BIDS, bids
+from loamline.storage import materialize
 
 #: At most one more than this many tag keys are taken of an entity.
 MAX_TAGS = 10_000
@@ -154,20 +155,22 @@ def thread_links(messages: DataFrame) -> DataFrame:
     return asked.join(named, ["collection", "message_id"]).where("entity_id <> reply_to").select("collection", "entity_id", "reply_to").distinct()
 
 
-def ancestors(nodes: DataFrame, max_depth: int = 64) -> DataFrame:
+def ancestors(nodes: DataFrame, max_depth: int | None = None) -> DataFrame:
     """(id, ancestor, distance) of nodes (id, parent): each node with all above it.
 
-    One equi-join for each level; a path longer than ``max_depth`` is an error.
+    One equi-join for each level, written once; a node above itself is an error, and if given a path longer than ``max_depth``.
     """
-    step = nodes.where("parent is not null").select("id", F.col("parent").alias("ancestor")).distinct()
+    step = materialize(nodes.where("parent is not null").select("id", F.col("parent").alias("ancestor")).distinct(), "level")
     out, frontier = step.withColumn("distance", F.lit(1)), step
     up = step.select(F.col("id").alias("ancestor"), F.col("ancestor").alias("above"))
-    for distance in range(2, max_depth + 1):
-        frontier = frontier.join(up, "ancestor").select("id", F.col("above").alias("ancestor"))
-        if frontier.isEmpty():
-            return out
+    distance = 2
+    while not frontier.isEmpty():
+        if distance - 1 == max_depth or not frontier.where("id = ancestor").isEmpty():
+            raise ValueError("deeper than max_depth, or a cycle")
+        frontier = materialize(frontier.join(up, "ancestor").select("id", F.col("above").alias("ancestor")), "level")
         out = out.unionByName(frontier.withColumn("distance", F.lit(distance)))
-    raise ValueError("deeper than max_depth, or a cycle")
+        distance += 1
+    return out
 
 
 def folder_closure(paths: DataFrame, excluded: tuple[str, ...] = ()) -> DataFrame:

@@ -141,6 +141,19 @@ def table_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first
 
 
+@query("SELECT 's' || s_suppkey AS id, s_name AS texts FROM supplier WHERE s_name IS NOT NULL AND trim(s_name) <> '' UNION ALL SELECT 'r' || r_regionkey, r_name FROM region WHERE r_name IS NOT NULL AND trim(r_name) <> ''")
+def more_row_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = [R.row_fragments(table(spark, sf_dir, t), [k]).select(F.concat(F.lit(k[0]), F.col(k).cast("string")).alias("id"), F.array_join("texts", " | ").alias("texts")) for t, k in (("supplier", "s_suppkey"), ("region", "r_regionkey"))]
+    return rows[0].unionByName(rows[1])
+
+
+@query(metadata_sql("supplier", ["s_suppkey", "s_name", "s_nationkey"]) + " UNION ALL " + metadata_sql("customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]))
+def more_table_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables less their amounts, whose text differs between engines."""
+    supplier, customer = (R.table_metadata(table(spark, sf_dir, t).drop(c), t) for t, c in (("supplier", "s_acctbal"), ("customer", "c_acctbal")))
+    return supplier.unionByName(customer)
+
+
 BIDS_SQL = "(VALUES " + ", ".join(
     [f"('mime', '{m.lower()}', '{e.name}', {e.score}, {k})" for k, e in enumerate(EXTRACTORS) for m in e.mimes] + [f"('ext', '{x}', '{e.name}', {e.score}, {k})" for k, e in enumerate(EXTRACTORS) for x in e.extensions]
 ) + ") b(kind, key, extractor, score, ordinal)"

@@ -103,6 +103,10 @@ def test_ancestors_refuse_cycles(spark):
     nodes = spark.createDataFrame([("a", "b"), ("b", "a")], "id string, parent string")
     with pytest.raises(ValueError):
         R.ancestors(nodes, max_depth=4)
+    with pytest.raises(ValueError):
+        R.ancestors(nodes)
+    path = spark.range(1, 5).selectExpr("cast(id as string) id", "cast(id - 1 as string) parent")
+    assert R.ancestors(path).count() == 10
 
 
 @pytest.mark.parametrize("order", [[0, 1, 2], [2, 1, 0]])
