@@ -11,7 +11,8 @@ from pyspark.sql.window import Window
 
 from loamline.functions import text as T
 from loamline.model import entity_id, is_a
-from loamline.registry import EXTRACTORS, FAMILY_BIDS, bids
+from loamline.registry import EXTRACTORS, FAMILY_BIDS
+from loamline.registry import offers as offers_by
 from loamline.storage import materialize
 
 #: At most one more than this many tag keys are taken of an entity.
@@ -30,12 +31,10 @@ def auction(files: DataFrame, sniffed: str | None = None) -> DataFrame:
     The registry has a few hundred rows and is broadcast for that fixed bound.
     """
     spark = files.sparkSession
-    by_kind = bids(spark)
-    best = lambda kind: by_kind.where(F.col("kind") == kind).groupBy("key").agg(F.collect_list(F.struct("extractor", "score", "ordinal")).alias("offers"))
     mime = F.lower(F.trim(F.substring_index(F.coalesce("mime", sniffed) if sniffed else F.col("mime"), ";", 1)))
     rows = files.withColumn("mime_", mime).withColumn("ext_", T.path_extension(F.col("file_name")))
-    rows = rows.join(F.broadcast(best("mime").select(F.col("key").alias("mime_"), F.col("offers").alias("by_mime"))), "mime_", "left")
-    rows = rows.join(F.broadcast(best("ext").select(F.col("key").alias("ext_"), F.col("offers").alias("by_ext"))), "ext_", "left")
+    rows = rows.join(F.broadcast(offers_by(spark, "mime").select(F.col("key").alias("mime_"), F.col("offers").alias("by_mime"))), "mime_", "left")
+    rows = rows.join(F.broadcast(offers_by(spark, "ext").select(F.col("key").alias("ext_"), F.col("offers").alias("by_ext"))), "ext_", "left")
     none = F.array().cast("array<struct<extractor:string,score:int,ordinal:int>>")
     order = {e.name: k for k, e in enumerate(EXTRACTORS)}
     offers = F.concat(F.coalesce("by_mime", none), F.coalesce("by_ext", none))

@@ -113,9 +113,15 @@ def add(extractor: Extractor, family: tuple[str, int] | None = None) -> None:
         FAMILY_BIDS[:] = [f for f in FAMILY_BIDS if f[0] != extractor.name] + [(extractor.name, *family)]
 
 
-def bids(spark: SparkSession) -> DataFrame:
-    """(kind, key, extractor, score, ordinal): a few hundred rows, by media type (``mime``) and extension (``ext``)."""
-    rows = []
+def offers(spark: SparkSession, kind: str) -> DataFrame:
+    """(key, offers): what extractors bid by media type (``mime``) or file extension (``ext``), a few hundred rows that are part of the plan."""
+    by_key: dict[str, list[str]] = {}
     for k, e in enumerate(EXTRACTORS):
-        rows += [("mime", m.lower(), e.name, e.score, k) for m in e.mimes] + [("ext", x, e.name, e.score, k) for x in e.extensions]
-    return spark.createDataFrame(rows, "kind string, key string, extractor string, score int, ordinal int")
+        for key in (m.lower() for m in e.mimes) if kind == "mime" else e.extensions:
+            by_key.setdefault(key, []).append(f"named_struct('extractor', '{_quoted(e.name)}', 'score', {e.score}, 'ordinal', {k})")
+    rows = ", ".join(f"('{_quoted(key)}', array({', '.join(bids)}))" for key, bids in by_key.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(key, offers)")
+
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
