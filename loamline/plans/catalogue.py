@@ -210,7 +210,13 @@ def html_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_fields(spark, sf_dir).select("page_id", F.coalesce("lang", F.lit("")).alias("lang"))
 
 
-@query()
+#: Text of the pages of the tables at hand: all outside the head, comments too, without tags.
+PAGE_TEXT_SQL = r"""(SELECT page_id, html, trim(regexp_replace(replace(replace(replace(replace(replace(replace(
+  regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '(?s)<head>.*?</head>', ' '), '(?s)<!--(.*?)-->', ' \1 ', 'g'), '<[^>]*>', ' ', 'g'),
+  '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '[\s\p{Z}]+', ' ', 'g')) AS text FROM pages)"""
+
+
+@query(f"SELECT page_id, text FROM {PAGE_TEXT_SQL}")
 def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_fields(spark, sf_dir).select("page_id", "text")
 
@@ -456,7 +462,10 @@ def returned_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analyzed_ids(analyze(doc_fragments(spark, sf_dir), names=names_in), given).select(F.col("entity_id").alias("id"))
 
 
-@query()
+@query(f"""
+SELECT sha1('doc-' || doc_id || '.txt' || chr(31) || sha1(coalesce(text, ''))) AS entity_id, CASE WHEN coalesce(text, '') = '' THEN 'Document' ELSE 'PlainText' END AS schema, 'success' AS status,
+  octet_length(encode(coalesce(text, '')))::BIGINT AS file_size, CASE WHEN text <> '' THEN length(text)::INTEGER END AS n_text FROM documents
+UNION ALL SELECT sha1('page-' || page_id || '.html' || chr(31) || sha1(html)), 'HyperText', 'success', octet_length(encode(html))::BIGINT, length(text)::INTEGER FROM {PAGE_TEXT_SQL}""")
 def ingest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents and pages as files through the whole of ingestion: one row for each entity."""
     docs = table(spark, sf_dir, "documents").select(F.concat(F.lit("doc-"), "doc_id", F.lit(".txt")).alias("file_name"), F.coalesce("text", F.lit("")).cast("binary").alias("content"))
