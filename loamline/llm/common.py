@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,9 +44,24 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_to = hadoop_path
+    if _scratch:
+        _scratch[-1].append(out)
     return out
 
 
+_scratch: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[list[DataFrame]]:
+    """The tables that are written within, so that they can be released together."""
+    _scratch.append([])
+    try:
+        yield _scratch[-1]
+    finally:
+        _scratch.pop()
+
+
 def release(*tables: DataFrame) -> None:
     """Deletes what :func:`materialize` wrote of ``tables``, which nothing reads any more."""
     for t in tables:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loamline.llm.common import fresh, materialize, quoted, release
+from loamline.llm.common import fresh, materialize, quoted, release, scratch
 
 SHINGLE, PERMUTATIONS, BANDS, SMALL = 4, 64, 32, 8
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -383,7 +383,10 @@ def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, with all their columns, less all but one of each component: that of the smallest doc_id stays."""
     row = fresh("row", docs.columns)
     rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "docs")
-    found = near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"), percent).select(F.col("doc_id").alias("row"), "component_id")
+    with scratch() as tables:
+        found = near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"), percent).select(F.col("doc_id").alias("row"), "component_id")
     named = found.join(rows.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id")), "row")
     first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "row"))["row"].alias(row))
-    return rows.join(first.select(row), row, "left_semi").select(*quoted(docs))
+    first = materialize(first.select(row), "first")
+    release(*tables)
+    return rows.join(first, row, "left_semi").select(*quoted(docs))
