@@ -62,6 +62,18 @@ def scratch() -> Iterator[list[DataFrame]]:
         _scratch.pop()
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """What runs within sends at most about ``size`` bytes to a Python worker at once."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def release(*tables: DataFrame) -> None:
     """Deletes what :func:`materialize` wrote of ``tables``, which nothing reads any more."""
     for t in tables:

@@ -25,11 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loamline.llm.common import fresh, materialize, quoted, release, scratch
+from loamline.llm.common import arrow_batches, fresh, materialize, quoted, release, scratch
 
 SHINGLE, PERMUTATIONS, BANDS, SMALL = 4, 64, 32, 8
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 SEGMENT = 1 << 20
+#: Bytes that a worker is sent at once.
+BATCH_BYTES = 32 << 20
 _random = np.random.default_rng(20240607)
 BYTE_VALUES = _random.integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 STEP = np.uint64(0x9E3779B97F4A7C17)
@@ -369,7 +371,8 @@ def confirmed(pairs: DataFrame, reps: DataFrame, source: DataFrame, percent: int
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text)."""
-    signed, reps, linked = link_classes(docs, percent)
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):  # pairs carry two sets each
+        signed, reps, linked = link_classes(docs, percent)
     roots = components(linked)
     rooted = reps.join(roots, "k", "left").select("k", "rep", F.coalesce("root", "k").alias("root"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
