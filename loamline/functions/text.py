@@ -48,9 +48,18 @@ def chunks(text: Column, size: int = CHUNK, shortest: int = SHORTEST) -> Column:
     return F.when(F.length(flat) >= shortest, pieces).otherwise(F.array().cast("array<string>"))
 
 
+#: A word's begin and bound where words are of ASCII letters, digits and ``_``; what ``\b`` means to Java depends on its version.
+ASCII_BEGIN = "(?<![0-9A-Za-z_])"
+ASCII_BOUND = f"(?:{ASCII_BEGIN}(?=[0-9A-Za-z_])|(?<=[0-9A-Za-z_])(?![0-9A-Za-z_]))"
+
+
 def matches(text: Column, pattern: str) -> Column:
-    """All matches of a pattern, in order, without regard to case."""
-    return F.regexp_extract_all(text, F.lit("(?i)" + pattern), F.lit(0))
+    """All matches of a pattern, in order, without regard to case; words end at all that is not ASCII, as in its SQL form.
+
+    A pattern that begins with a bound is to go on with a word's character.
+    """
+    begin, rest = (ASCII_BEGIN, pattern[2:]) if pattern.startswith(r"\b") else ("", pattern)
+    return F.regexp_extract_all(text, F.lit("(?i)" + begin + rest.replace(r"\b", ASCII_BOUND)), F.lit(0))
 
 
 def clean_email(value: Column) -> Column:

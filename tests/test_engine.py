@@ -40,6 +40,12 @@ def test_patterns_match_once(spark, pattern, texts):
         assert spark.createDataFrame([(f"see {t} there",)], "x string").select(F.size(T.matches(F.col("x"), pattern))).first()[0] == 1
 
 
+def test_words_end_at_letters_beyond_ascii(spark):
+    """As in the SQL form: 'est' after an accented letter begins a word of its own."""
+    got = spark.createDataFrame([("pré\u00e9st 4189586171755930 x",), ("best 4189586171755930 x",)], "t string").select(T.matches(F.col("t"), T.IBAN)).collect()
+    assert [r[0] for r in got] == [["st 4189586171755930"], []]
+
+
 def test_cleaning_and_countries(spark):
     assert one(spark, T.clean_iban, "de44 5001 0517 5407 3249 31") == "DE44500105175407324931" and one(spark, T.clean_iban, "DE45500105175407324931") is None
     assert one(spark, T.clean_phone, "0049 173 9341784") == "+491739341784" and one(spark, T.clean_phone, "123456") is None
