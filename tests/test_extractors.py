@@ -41,6 +41,11 @@ def test_html():
     assert out["indexText"] == ["Hello web page. The end ."] and "bodyText" not in out
 
 
+def test_html_references_end_in_a_semicolon():
+    page = documents.read_page('<html lang="a&ampb"><head><title>R&amp;D &amp</title><meta name="author" content="A &lt B &lt; C"></head><body>x &amp;&amp y &unknown; &#38; <!-- &amp z --></body></html>')
+    assert (page.titles, page.lang, page.field("author"), page.text()) == (["R&D &amp"], "a&ampb", "A &lt B < C", "x &&amp y &unknown; & &amp z")
+
+
 def test_html_blank_has_no_text():
     out = documents.html(file("<html><body><pre>\n \n</pre></body></html>")).props
     assert "indexText" not in out and "title" not in out
