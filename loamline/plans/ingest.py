@@ -19,7 +19,7 @@ from loamline.registry import Extractor
 from loamline.sources import documents, mail, ole, packages, pdf, tables
 from loamline.sources.base import ENCRYPTED, NOT_SUPPORTED, Child, Extract, Failed, File, Result, collapse
 from loamline.sources.programs import PROGRAMS
-from loamline.storage import materialize
+from loamline.storage import arrow_batches, materialize
 
 FILE = "entity_id string, schema string, file_name string, mime string, content binary, parent string, ancestors array<string>"
 ROW = "kind string, entity_id string, fragment string, schema string, props map<string,array<string>>, file_name string, mime string, content binary, parent string, ancestors array<string>, extractor string, status string, file_size long, seconds double"
@@ -93,7 +93,7 @@ def run_one(extract: dict[str, Extract], extractor: str | None, file: File, mime
     return extract[extractor](file)
 
 
-#: Rows, and bytes of files inside, that make a batch.
+#: Rows, and bytes of files and of texts, that make a batch.
 BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 
@@ -105,21 +105,26 @@ def extracting(extract: dict[str, Extract]):
         types = [pa.string()] * 4 + [pa.map_(pa.string(), pa.list_(pa.string()))] + [pa.string()] * 2 + [pa.binary(), pa.string(), pa.list_(pa.string()), pa.string(), pa.string(), pa.int64(), pa.float64()]
         schema = pa.schema(list(zip(names, types, strict=True)))
         none = dict.fromkeys(names)
+        held, size = [], 0
         for batch in batches:
+            columns = [(n, batch.column(i)) for i, n in enumerate(batch.schema.names)]
             for k in range(batch.num_rows):
-                row = {n: batch.column(i)[k].as_py() for i, n in enumerate(batch.schema.names)}
-                held, size = [], 0
-                for r in rows_of(extract, row):
+                for r in rows_of(extract, {n: c[k].as_py() for n, c in columns}):
                     held.append(none | r)
-                    size += len(r.get("content") or b"")
+                    size += weight(r)
                     if len(held) >= BATCH_ROWS or size >= BATCH_BYTES:
                         yield pa.RecordBatch.from_pylist(held, schema)
                         held, size = [], 0
-                yield pa.RecordBatch.from_pylist(held, schema)
+        yield pa.RecordBatch.from_pylist(held, schema)
 
     return run
 
 
+def weight(row: dict) -> int:
+    """About the bytes of a row's content and texts."""
+    return len(row.get("content") or b"") + sum(len(v) for _, values in row.get("props") or () for v in values)
+
+
 def rows_of(extract: dict[str, Extract], row: dict) -> Iterator[dict]:
     """What one file gives, and last its own row with the status.  No file makes the task fail."""
     content = row["content"] or b""
@@ -172,7 +177,8 @@ def ingest_files(files: DataFrame) -> Ingested:
         sized = todo.withColumn("file_size", F.coalesce(F.octet_length("content"), F.lit(0)).cast("long")).withColumn("sniffed", T.sniff(F.col("content")))
         sized = sized.withColumn("mime", F.coalesce("mime", "sniffed"))
         routed = auction(sized).select("entity_id", "schema", "file_name", "mime", "content", "parent", "ancestors", "extractor")
-        done = materialize(routed.mapInArrow(extract, ROW), "extracted")
+        with arrow_batches(files.sparkSession, BATCH_BYTES):
+            done = materialize(routed.mapInArrow(extract, ROW), "extracted")
         fragments.append(done.where("kind = 'fragment'").select("entity_id", "fragment", "schema", "props"))
         runs.append(done.where("status is not null").select("entity_id", "extractor", "status", "file_size", "seconds"))
         todo = done.where("kind = 'child'").select("entity_id", "schema", "file_name", "mime", "content", "parent", "ancestors")

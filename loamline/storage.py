@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,3 +33,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """What is run within sends at most about ``size`` bytes to a Python worker at once."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -5,6 +5,7 @@ import stat
 import struct
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,9 +14,11 @@ from loamline.functions import language
 from loamline.functions import text as T
 from loamline.model import merge
 from loamline.plans import files as M
-from loamline.plans.ingest import EXTRACT, ingest, ingest_files, register
+from loamline.plans import formats
+from loamline.plans.catalogue import QUERIES
+from loamline.plans.ingest import EXTRACT, extracting, ingest, ingest_files, register
 from loamline.registry import EXTRACTORS, FAMILY_BIDS, Extractor
-from loamline.sources import ole, pdf, programs
+from loamline.sources import mail, ole, pdf, programs
 from loamline.sources.base import ENCRYPTED, Failed, File, Result
 from loamline.streaming.control import cache_clear, cache_results
 
@@ -181,3 +184,39 @@ def test_commands(spark, tmp_path, capsys):
     main(["cancel", arg("positions")], spark)
     main(["debug", arg("in")], spark)
     assert not os.path.exists(arg("positions")) and "a.txt" in capsys.readouterr().out
+
+
+def test_files_share_batches_of_rows():
+    rows = [{"entity_id": str(k), "schema": "Document", "file_name": f"{k}.txt", "mime": None, "content": b"x" * 10, "parent": None, "ancestors": [], "extractor": "plain"} for k in range(50)]
+    batches = list(extracting(dict(EXTRACT))([pa.RecordBatch.from_pylist(rows)]))
+    assert [b.num_rows for b in batches] == [50]
+    large = [r | {"content": b"x" * (4 << 20)} for r in rows[:9]]
+    assert [b.num_rows for b in extracting(dict(EXTRACT))([pa.RecordBatch.from_pylist(large)])] == [4, 4, 1]
+
+
+def test_rows_of_a_small_table_go_to_many_tasks(spark):
+    made = M.made(spark.range(100).coalesce(1).selectExpr("cast(id as string) as key", "id"), M.signed_of)
+    assert made.rdd.getNumPartitions() >= 16 and made.count() == 100
+
+
+def test_a_header_is_parsed_once(monkeypatch):
+    seen = []
+    real = mail.DEFAULT.header_factory
+    monkeypatch.setattr(mail, "DEFAULT", mail.EmailPolicy(header_factory=lambda name, value: seen.append(name) or real(name, value)))
+    mail.parsed_header.cache_clear()
+    raw = M.addressed_of({"id": 1, "name": "Ann Smith", "segment": "x"})
+    assert mail.rfc822(file(raw)).props["from"] == mail.rfc822(file(raw)).props["from"] == ["c1@example.org"]
+    mail.parsed_header.cache_clear()
+    assert seen and len(seen) == len(set(seen))
+
+
+def test_files_do_not_grow_with_their_table(spark, tmp_path):
+    spark.range(2000).selectExpr("id as doc_id", "'t' as text", "'en' as lang", "'web' as source").write.parquet(str(tmp_path / "documents.parquet"))
+    files = formats.texts_by(spark, str(tmp_path), "lang", "source").selectExpr("split_part(key, '.', 1) as by", "size(rows) as n").collect()
+    assert sum(r.n for r in files) == 2000 and max(r.n for r in files) == 250 and {r.by for r in files} == {"en"}
+    assert b"ORGANIZER;CN=O:mailto:u7@example.org" in M.ics_of({"key": "7.12", "rows": [{"id": 120_001, "kind": "view"}]})
+
+
+def test_texts_of_tags_are_one_chunk_each(spark, tmp_path):
+    spark.range(1500).selectExpr("id as c_custkey", "1 as c_nationkey", "concat('Customer#', lpad(id, 9, '0')) as c_name").write.parquet(str(tmp_path / "customer.parquet"))
+    assert [(r.value, r.prop) for r in QUERIES["streamed_tags"](spark, str(tmp_path)).collect()] == [("c1@example.org", "emailMentioned")]
