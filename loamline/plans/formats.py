@@ -37,6 +37,11 @@ def rows_by(df: DataFrame, by: Column, into: str = "rows", **columns: str) -> Da
     return df.groupBy(by.cast("string").alias("key")).agg(F.array_sort(F.collect_list(own)).alias(into))
 
 
+def block(by: Column, number: Column, size: int) -> Column:
+    """``by`` and a block of ``size`` numbers, so that a file, which one task makes and reads, does not grow with the table."""
+    return F.concat_ws(".", by.cast("string"), F.floor(number / size).cast("string"))
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows_by(table(spark, sf_dir, "customer"), F.col("c_nationkey"), id="c_custkey", name="c_name", segment="c_mktsegment")
 
@@ -125,7 +130,7 @@ def ods_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def texts_by(spark: SparkSession, sf_dir: str, by: str, folder: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").where(F.col("text").isNotNull() & F.col(by).isNotNull() & F.col(folder).isNotNull())
-    return rows_by(docs.withColumn("name", F.col("doc_id").cast("string")), F.col(by), id="doc_id", name="name", folder=folder, text="text")
+    return rows_by(docs.withColumn("name", F.col("doc_id").cast("string")), block(F.col(by), F.col("doc_id"), 250), id="doc_id", name="name", folder=folder, text="text")
 
 
 def members(files: DataFrame) -> DataFrame:
@@ -143,13 +148,13 @@ def members_sql(by: str, folder: str) -> str:
 
 @query(members_sql("source", "lang"))
 def zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each source's documents in a ZIP archive with folders, beside members whose paths lead out of it or that a crawl leaves out."""
+    """Each source's documents in ZIP archives with folders, 250 numbers in each, beside members whose paths lead out of it or that a crawl leaves out."""
     return members(M.made(texts_by(spark, sf_dir, "source", "lang"), M.zip_of, ".zip"))
 
 
 @query(members_sql("lang", "source"))
 def tar_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each language's documents in a tar archive, beside a link."""
+    """Each language's documents in tar archives, 250 numbers in each, beside a link."""
     return members(M.made(texts_by(spark, sf_dir, "lang", "source"), M.tar_of, ".tar"))
 
 
@@ -277,17 +282,18 @@ def olm_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT sha1('last' || c_custkey || '@example.org') AS id, list_aggregate(list_sort(list_distinct([c_name, c_name[1:8] || ' ' || c_name[9:]])), 'string_agg', '|') AS name, '+1781555' || lpad((c_custkey % 10000)::VARCHAR, 4, '0') AS phone,
   list_aggregate(list_sort(['Last' || c_custkey || '@Example.org', 'first' || c_custkey || '@example.org']), 'string_agg', '|') AS email, c_mktsegment AS position FROM customer""")
 def vcard_people(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cards of a nation's customers: folded lines, grouped items, and the last address telling who it is; no address, no person."""
-    out = entities(M.made(customers(spark, sf_dir), M.vcf_of, ".vcf")).where("schema = 'Person'")
+    """Cards of a nation's customers, some 400 in a file: folded lines, grouped items, and the last address telling who it is; no address, no person."""
+    cards = rows_by(table(spark, sf_dir, "customer"), block(F.col("c_nationkey"), F.col("c_custkey"), 10_000), id="c_custkey", name="c_name", segment="c_mktsegment")
+    out = entities(M.made(cards, M.vcf_of, ".vcf")).where("schema = 'Person'")
     return out.select(F.col("entity_id").alias("id"), *[p(c).alias(c) for c in ("name", "phone", "email", "position")])
 
 
 @query("""SELECT sha1('event-' || event_id) AS id, event_type || ', number ' || event_id AS name, '2024-01-02' AS "startDate", '2024-01-02T03:04:05+00:00' AS "endDate", sha1('u' || user_id % 20 || '@example.org') AS organizer, sha1(event_type || '@example.org') AS involved
 FROM events WHERE event_id IS NOT NULL AND user_id IS NOT NULL AND event_type IS NOT NULL""")
 def calendar_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Calendars of events with organisers and guests."""
+    """Calendars of events with organisers and guests, some 500 events in each."""
     rows = table(spark, sf_dir, "events").where("event_id is not null and user_id is not null and event_type is not null")
-    out = entities(M.made(rows_by(rows, F.col("user_id") % 20, id="event_id", kind="event_type"), M.ics_of, ".ics")).where("schema = 'Event'")
+    out = entities(M.made(rows_by(rows, block(F.col("user_id") % 20, F.col("event_id"), 10_000), id="event_id", kind="event_type"), M.ics_of, ".ics")).where("schema = 'Event'")
     return out.select(F.col("entity_id").alias("id"), *[p(c).alias(c) for c in ("name", "startDate", "endDate", "organizer", "involved")])
 
 
