@@ -70,7 +70,11 @@ def merge(fragments: DataFrame) -> DataFrame:
     The schema is the most specific that a fragment names; ties go by name.
     """
     depth = F.element_at(F.create_map(*[x for s in PARENTS for x in (F.lit(s), F.lit(len(ancestors_of(s))))]), F.col("schema"))
-    schema = fragments.groupBy("entity_id").agg(F.max(F.struct(F.coalesce(depth, F.lit(0)), "schema"))["schema"].alias("schema"))
-    values = merge_values(long_form(fragments)).groupBy("entity_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("prop", "values")))).alias("props"))
+    one = fragments.groupBy("entity_id").agg(F.max(F.struct(F.coalesce(depth, F.lit(0)), "schema"))["schema"].alias("schema"), F.count(F.lit(1)).alias("n"), F.first("props").alias("props"))
+    # Most entities have one fragment; only the values of the others are dealt out and collected.
+    several = fragments.join(fragments.groupBy("entity_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("entity_id"), "entity_id", "left_semi")
+    values = merge_values(long_form(several)).groupBy("entity_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("prop", "values")))).alias("merged"))
+    own = F.map_filter(F.transform_values("props", lambda _, vs: F.array_sort(F.array_distinct(F.filter(vs, lambda v: v.isNotNull())))), lambda _, vs: F.size(vs) > 0)
     empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<array<string>>"))
-    return schema.join(values, "entity_id", "left").withColumn("props", F.coalesce("props", empty))
+    props = F.coalesce(F.when(F.col("n") == 1, own).otherwise(F.col("merged")), empty)
+    return one.join(values, "entity_id", "left").select("entity_id", "schema", props.alias("props"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loamline.functions import language
 from loamline.functions import text as T
-from loamline.model import entity_id, is_a, latest, make_id, merge
+from loamline.model import FRAGMENT, entity_id, is_a, latest, make_id, merge
 from loamline.operators import relational as R
 from loamline.plans.analyze import analyze, returned_ids
 from loamline.streaming.live import ingest_stream, thread_links_stream
@@ -34,6 +34,12 @@ def test_merge_does_not_depend_on_order(spark):
     assert [r.v for r in latest(newer, "at").collect()] == ["new"]
 
 
+def test_merge_of_one_fragment_sorts_and_drops_nulls(spark):
+    rows = [("a", "", "Document", {"x": ["b", "a", None, "b"], "y": [], "z": None}), ("b", "", "Document", {}), ("c", "1", "Document", {"x": ["q"]}), ("c", "2", "Email", {"x": ["p", "q"]}), ("d", "", "Page", None)]
+    got = {r.entity_id: (r.schema, r.props) for r in merge(spark.createDataFrame(rows, FRAGMENT)).collect()}
+    assert got == {"a": ("Document", {"x": ["a", "b"]}), "b": ("Document", {}), "c": ("Email", {"x": ["p", "q"]}), "d": ("Page", {})}
+
+
 @pytest.mark.parametrize("pattern, texts", [(T.PHONE, PHONES), (T.IBAN, IBANS), (T.EMAIL, ["a.b+c@Example.co.uk", "x_y%1@sub-d.example.org"])])
 def test_patterns_match_once(spark, pattern, texts):
     for t in texts:
