@@ -18,7 +18,7 @@ from loamline.plans import formats
 from loamline.plans.catalogue import QUERIES
 from loamline.plans.ingest import EXTRACT, extracting, ingest, ingest_files, register
 from loamline.registry import EXTRACTORS, FAMILY_BIDS, Extractor
-from loamline.sources import mail, ole, pdf, programs
+from loamline.sources import mail, ole, pdf, programs, tables
 from loamline.sources.base import ENCRYPTED, Failed, File, Result
 from loamline.streaming.control import cache_clear, cache_results
 
@@ -220,3 +220,23 @@ def test_files_do_not_grow_with_their_table(spark, tmp_path):
 def test_texts_of_tags_are_one_chunk_each(spark, tmp_path):
     spark.range(1500).selectExpr("id as c_custkey", "1 as c_nationkey", "concat('Customer#', lpad(id, 9, '0')) as c_name").write.parquet(str(tmp_path / "customer.parquet"))
     assert [(r.value, r.prop) for r in QUERIES["streamed_tags"](spark, str(tmp_path)).collect()] == [("c1@example.org", "emailMentioned")]
+
+
+def test_sheets_are_read_row_by_row(monkeypatch):
+    """The tree of a workbook's rows is never whole."""
+    rows = [{"id": k, "name": f"n{k}", "segment": "s"} for k in range(200)]
+    book = M.ods_of({"key": "R", "sheets": [{"title": t, "rows": rows} for t in ("a", "b")]})
+    excel = M.xlsx_of({"key": "R", "author": "A", "customers": rows, "suppliers": rows})
+    parsed = []
+    real = tables.parse_xml
+    monkeypatch.setattr(tables, "parse_xml", lambda raw: parsed.append(len(raw)) or real(raw))
+    found = [[(f[3]["title"], f[3]["rowCount"]) for f in read(file(raw)).fragments if "rowCount" in f[3]] for read, raw in ((tables.ods, book), (tables.xlsx, excel))]
+    assert found == [[(["a"], ["201"]), (["b"], ["201"])], [(["Customers"], ["201"]), (["Suppliers"], ["201"])]] and max(parsed) < 1000
+
+
+def test_a_table_in_a_cell_is_a_sheet_too():
+    cell = lambda x: f"<t:table-cell><x:p>{x}</x:p></t:table-cell>"
+    inner = f'<t:table t:name="in"><t:table-row>{cell("c")}</t:table-row></t:table>'
+    content = f'<c xmlns:t="urn:t" xmlns:x="urn:x"><t:table t:name="out"><t:table-row>{cell("a")}<t:table-cell>{inner}</t:table-cell></t:table-row></t:table><t:table t:name="next"><t:table-row>{cell("d")}</t:table-row></t:table></c>'
+    found = [(f[3]["title"], f[3]["rowCount"]) for f in tables.ods(file(M.zipped([("content.xml", content)]))).fragments if "rowCount" in f[3]]
+    assert found == [(["out"], ["3"]), (["in"], ["2"]), (["next"], ["2"])]
