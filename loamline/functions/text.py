@@ -158,23 +158,31 @@ def path_extension(name: Column) -> Column:
     return F.when(found != "", found)
 
 
+#: The first line of a box of messages: who sent it, and a date as asctime gives it, with a zone before or behind the year.  Prose may begin with ``From``, too.
+MBOX_LINE = (
+    r"^From \S+ +(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun),? +(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec) +\d{1,2}(?: +\d{1,2}:\d{2}(?::\d{2})?)?(?: +[A-Z]{1,5}| +[+-]\d{4})? +\d{4}(?: +[A-Z]{1,5}| +[+-]\d{4})?"
+    r"(?: +remote from \S+)?\s*\n"
+)
+
+
 def sniff(content: Column) -> Column:
     """Media type by the first bytes; null if they tell nothing.  One look at a file's head serves all."""
     head = F.hex(F.substring(content, 1, 512))
     shown = F.decode(F.substring(content, 1, 512), "ISO-8859-1")
     text_at = F.lower(F.ltrim(shown))
     signs = [
-        ("25504446", "application/pdf"), ("504B0304", "application/zip"), ("504B0506", "application/zip"), ("1F8B", "application/gzip"), ("425A68", "application/x-bzip2"),
+        ("25504446", "application/pdf"), ("504B0304", "application/zip"), ("504B0506", "application/zip"), ("1F8B", "application/gzip"), ("425A683", "application/x-bzip2"),
         ("D0CF11E0A1B11AE1", "application/CDFV2-unknown"), ("53514C69746520666F726D6174203300", "application/x-sqlite3"), ("89504E470D0A1A0A", "image/png"), ("FFD8FF", "image/jpeg"),
-        ("474946383761", "image/gif"), ("474946383961", "image/gif"), ("424D", "image/bmp"), ("49492A00", "image/tiff"), ("4D4D002A", "image/tiff"), ("526172211A07", "application/x-rar"),
+        ("474946383761", "image/gif"), ("474946383961", "image/gif"), ("49492A00", "image/tiff"), ("4D4D002A", "image/tiff"), ("526172211A07", "application/x-rar"),
         ("377ABCAF271C", "application/x-7z-compressed"), ("41542654464F524D", "image/vnd.djvu"), ("2142444E", "application/vnd.ms-outlook"), ("664C6143", "audio/flac"), ("4F676753", "audio/ogg"),
-        ("494433", "audio/mpeg"), ("7B5C727466", "text/rtf"),
+        ("49443302", "audio/mpeg"), ("49443303", "audio/mpeg"), ("49443304", "audio/mpeg"), ("7B5C727466", "text/rtf"),
     ]
     out = F.when(F.length(content) < 1, F.lit(None).cast("string"))
     for sign, mime in signs:
         out = out.when(head.startswith(sign), F.lit(mime))
+    out = out.when(head.startswith("424D") & (F.substring(head, 31, 6) == "000000"), F.lit("image/bmp"))  # the size of its second header, as prose may begin with BM
     out = out.when(F.substring(head, 515, 10) == "7573746172", F.lit("application/x-tar"))
     for start, mime in (("<!doctype html", "text/html"), ("<html", "text/html"), ("<svg", "image/svg+xml"), ("<?xml", "text/xml"), ("begin:vcard", "text/vcard"), ("begin:vcalendar", "text/calendar"), ("return-path:", "message/rfc822"), ("received:", "message/rfc822"), ("message-id:", "message/rfc822")):
         out = out.when(text_at.startswith(start), F.lit(mime))
-    out = out.when(shown.rlike(r"^From \S+ [^\n]*\d{4}[^\n]*\n"), F.lit("application/mbox"))
+    out = out.when(shown.rlike(MBOX_LINE), F.lit("application/mbox"))
     return out.when(~shown.contains("\x00"), F.lit("text/plain"))

@@ -67,6 +67,15 @@ def test_text_functions(spark):
     assert one(spark, lambda c: T.sniff(c.cast("binary")), "%PDF-1") == "application/pdf" and one(spark, lambda c: T.sniff(c.cast("binary")), "  <!DOCTYPE HTML>") == "text/html"
 
 
+def test_prose_that_begins_as_other_formats_do_is_text(spark):
+    kind = lambda text: one(spark, lambda c: T.sniff(c.cast("binary")), text)
+    for prose in ("From of. Thoronre it 73.122.29.74 the +1 (885) 555-0172\nThis", "From +1 (282) 555-5833 on\nx", "BMW of 2020", "ID3 tags", "BZh is"):
+        assert kind(prose) == "text/plain", prose
+    for line in ("From - Thu Jan  2 03:04:05 2020\n", "From a@b.c Thu Jan 2 03:04:05 +0100 2020\r\n", "From a@b Sat Jan 3 01:05:34 1996 GMT\nx", "From a Mon Jan 2 03:04 PST 1990 remote from b\n", "From - Thu Jan 2 2020\n"):
+        assert kind(line) == "application/mbox", line
+    assert kind("BM\x01\x02\x00\x00\x00\x00\x00\x00\x36\x00\x00\x00\x28\x00\x00\x00") == "image/bmp" and kind("ID3\x03\x00") == "audio/mpeg"
+
+
 def test_auction_ties_families_and_empty_files(spark):
     rows = [("a.msg", None, 1), ("a.xyz", "image/webp", 1), ("a.html", "text/plain", 1), ("x.csv", None, 0), ("none", None, 1), ("pic", "IMAGE/PNG; x=1", 1)]
     got = R.auction(spark.createDataFrame(rows, "file_name string, mime string, file_size long")).collect()
