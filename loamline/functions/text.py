@@ -42,10 +42,11 @@ def filter_texts(texts: Column) -> Column:
 
 
 def chunks(text: Column, size: int = CHUNK, shortest: int = SHORTEST) -> Column:
-    """Array of slices of the collapsed text; none if it is too short."""
-    flat = F.coalesce(collapse(text), F.lit(""))
-    pieces = F.transform(F.sequence(F.lit(0), F.floor((F.length(flat) - 1) / size).cast("int")), lambda i: F.substring(flat, i * size + 1, F.lit(size)))
-    return F.when(F.length(flat) >= shortest, pieces).otherwise(F.array().cast("array<string>"))
+    """Array of slices of the collapsed text; none if it is too short.  The text is collapsed once, not for each slice."""
+    none = F.array().cast("array<string>")
+    slices = lambda flat: F.transform(F.sequence(F.lit(0), F.floor((F.length(flat) - 1) / size).cast("int")), lambda i: F.substring(flat, i * size + 1, F.lit(size)))
+    flat = F.coalesce(F.trim(F.regexp_replace(text, r"(?U)\s+", " ")), F.lit(""))
+    return F.flatten(F.transform(F.array(flat), lambda flat: F.when(F.length(flat) >= shortest, slices(flat)).otherwise(none)))
 
 
 #: A word's begin and bound where words are of ASCII letters, digits and ``_``; what ``\b`` means to Java depends on its version.

@@ -12,6 +12,7 @@ from loamline.functions import language
 from loamline.functions import text as T
 from loamline.model import is_a, long_form
 from loamline.operators import relational as R
+from loamline.storage import materialize
 
 TEXT_PROPS = ("bodyText", "indexText", "description", "summary")
 MENTIONED = {"companiesMentioned": "Organization", "peopleMentioned": "Person"}
@@ -48,6 +49,8 @@ def analyze(fragments: DataFrame, profiles: dict[str, dict[str, float]] | None =
     An entity of which only the language is known gets a row just with ``keep_language_only``.
     """
     chunks = text_chunks(analyzable(fragments))
+    if names is not None or profiles is not None:
+        chunks = materialize(chunks, "chunks")  # read more than once
     schemas = analyzable(fragments).groupBy("entity_id").agg(F.max("schema").alias("schema"))
     tags = R.pattern_tags(chunks.select("entity_id", "pos", F.col("chunk").alias("text")))
     grouped = R.group_tags(tags)
@@ -64,5 +67,9 @@ def analyze(fragments: DataFrame, profiles: dict[str, dict[str, float]] | None =
 
 
 def returned_ids(analyzed: Analyzed, workset: DataFrame) -> DataFrame:
-    """The ids that the stage hands on: those it was given, and the mentions'."""
-    return workset.select("entity_id").unionByName(analyzed.mentions.select(F.col("id").alias("entity_id"))).distinct()
+    """The ids that the stage hands on: those it was given, and the mentions'.
+
+    Mentions are made distinct first, as that spares the join of their countries, and with it the search for patterns.
+    """
+    mentioned = analyzed.mentions.select(F.col("id").alias("entity_id")).distinct()
+    return workset.select("entity_id").unionByName(mentioned).distinct()
