@@ -14,6 +14,8 @@ from pyspark.sql.window import Window
 #: A chunk decides on an entity's language if its score is above this.
 THRESHOLD = 0.6
 GRAM = 3
+#: Trigrams, of 8 bytes each, that a task holds before it counts them.
+PIECE = 1 << 20
 #: Logarithm of the share of a trigram that a profile lacks.
 FLOOR = math.log(1e-6)
 # Languages with a model of names, by three-letter code.
@@ -31,22 +33,33 @@ def gram_of(code: int) -> str:
     return "".join(chr(code >> shift & 0x1FFFFF) for shift in (42, 21, 0))
 
 
+def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, code, n) of (text, lang), counted whenever some ``PIECE`` trigrams are held, however many rows a batch has."""
+    for batch in batches:
+        seen, held = {}, 0
+        for text, lang in zip(batch.column(0), batch.column(1), strict=True):
+            own = codes(text.as_py())
+            seen.setdefault(lang.as_py(), []).append(own)
+            held += len(own)
+            if held >= PIECE:
+                yield from counted(seen)
+                seen, held = {}, 0
+        yield from counted(seen)
+
+
+def counted(seen: dict[str, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    for lang, own in seen.items():
+        found, n = np.unique(np.concatenate(own), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found), pa.array(n)], names=["lang", "code", "n"])
+
+
 def profiles(labelled: DataFrame, most: int = 2000) -> dict[str, dict[str, float]]:
     """The ``most`` frequent trigrams of each language of (text, lang), with the logarithm of their share.
 
-    Every task counts its own rows, so one row for each trigram and task is shuffled; the result is bounded by ``most``.
+    Every task counts its own rows and adds up what it counted, so one row for each trigram and task is shuffled; the result is bounded by ``most``.
     """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen: dict[str, list[np.ndarray]] = {}
-            for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seen.setdefault(lang, []).append(codes(text))
-            for lang, own in seen.items():
-                found, n = np.unique(np.concatenate(own), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found), pa.array(n)], names=["lang", "code", "n"])
-
-    rows = labelled.where("text is not null and lang is not null").select("text", "lang").mapInArrow(count, "lang string, code long, n long")
+    rows = labelled.where("text is not null and lang is not null").select("text", "lang").mapInArrow(count_grams, "lang string, code long, n long")
     rows = rows.groupBy("lang", "code").agg(F.sum("n").alias("n"))
     total = F.sum("n").over(Window.partitionBy("lang"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))
@@ -93,7 +106,7 @@ def detect_chunks(chunks: DataFrame, known: dict[str, dict[str, float]]) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [held.value.detect(t or "") for t in batch.column(2).to_pylist()]
+            found = [held.value.detect(t.as_py() or "") for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=["entity_id", "pos", "language", "score"])
 
     return chunks.select("entity_id", "pos", "chunk").mapInArrow(run, f"entity_id string, pos {kind}, language string, score double")

@@ -76,6 +76,28 @@ def test_prose_that_begins_as_other_formats_do_is_text(spark):
     assert kind("BM\x01\x02\x00\x00\x00\x00\x00\x00\x36\x00\x00\x00\x28\x00\x00\x00") == "image/bmp" and kind("ID3\x03\x00") == "audio/mpeg"
 
 
+def test_trigrams_are_counted_in_pieces():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = [f"word{k} {k * 7} " * 300 for k in range(2000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(["x", "y"] * 1000)], names=["text", "lang"])
+    tracemalloc.start()
+    counts: dict = {}
+    for b in language.count_grams(iter([batch])):
+        for lang, code, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            counts[lang, code] = counts.get((lang, code), 0) + n
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20 and sum(counts.values()) == sum(len(language.codes(t)) for t in texts)
+
+
+def test_chunks_collapse_a_text_once(spark):
+    plan = spark.range(1).select(T.chunks(F.col("id").cast("string")).alias("c"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 1
+
+
 def test_auction_ties_families_and_empty_files(spark):
     rows = [("a.msg", None, 1), ("a.xyz", "image/webp", 1), ("a.html", "text/plain", 1), ("x.csv", None, 0), ("none", None, 1), ("pic", "IMAGE/PNG; x=1", 1)]
     got = R.auction(spark.createDataFrame(rows, "file_name string, mime string, file_size long")).collect()
