@@ -19,7 +19,7 @@ from loamline.registry import Extractor
 from loamline.sources import documents, mail, ole, packages, pdf, tables
 from loamline.sources.base import ENCRYPTED, NOT_SUPPORTED, Child, Extract, Failed, File, Result, collapse
 from loamline.sources.programs import PROGRAMS
-from loamline.storage import arrow_batches, materialize
+from loamline.storage import arrow_batches, materialize, tasks
 
 FILE = "entity_id string, schema string, file_name string, mime string, content binary, parent string, ancestors array<string>"
 ROW = "kind string, entity_id string, fragment string, schema string, props map<string,array<string>>, file_name string, mime string, content binary, parent string, ancestors array<string>, extractor string, status string, file_size long, seconds double"
@@ -182,7 +182,8 @@ def ingest_files(files: DataFrame) -> Ingested:
         fragments.append(done.where("kind = 'fragment'").select("entity_id", "fragment", "schema", "props"))
         runs.append(done.where("status is not null").select("entity_id", "extractor", "status", "file_size", "seconds"))
         todo = done.where("kind = 'child'").select("entity_id", "schema", "file_name", "mime", "content", "parent", "ancestors")
-        todo = todo.where(~F.array_contains("ancestors", F.col("entity_id"))).dropDuplicates(["entity_id", "parent"])  # a file inside itself is there already
+        # A file inside itself is there already.  Files inside are small but take long, so they are dealt to as many tasks as made ones, where few bytes would become few tasks.
+        todo = todo.where(~F.array_contains("ancestors", F.col("entity_id"))).repartition(tasks(files.sparkSession), "entity_id", "parent").dropDuplicates(["entity_id", "parent"])
     every, all_runs = fragments[0], runs[0]
     for f, r in zip(fragments[1:], runs[1:], strict=True):
         every, all_runs = every.unionByName(f), all_runs.unionByName(r)

@@ -35,6 +35,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tasks(spark: SparkSession) -> int:
+    """Among how many tasks files are dealt: four a core, and no fewer than shuffles have."""
+    return max(4 * max(spark.sparkContext.defaultParallelism, 8), int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 @contextmanager
 def arrow_batches(spark: SparkSession, size: int) -> Iterator[None]:
     """What is run within sends at most about ``size`` bytes to a Python worker at once."""

@@ -76,6 +76,12 @@ def test_prose_that_begins_as_other_formats_do_is_text(spark):
     assert kind("BM\x01\x02\x00\x00\x00\x00\x00\x00\x36\x00\x00\x00\x28\x00\x00\x00") == "image/bmp" and kind("ID3\x03\x00") == "audio/mpeg"
 
 
+def test_files_are_dealt_to_many_tasks(spark):
+    from loamline.storage import tasks
+
+    assert tasks(spark) >= 4 * spark.sparkContext.defaultParallelism and tasks(spark) >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_trigrams_are_counted_in_pieces():
     import tracemalloc
 
